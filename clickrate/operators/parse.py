@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickrate.functions.dlq import dlq_line
-from clickrate.functions.timestamps import normalise_timestamp
+from clickrate.functions.timestamps import with_timestamp_ms
 from clickrate.functions.validity import is_valid
 from clickrate.schema import CORRUPT_COL, PAYLOAD_FIELDS, WIRE_SCHEMA
 
@@ -81,11 +81,12 @@ def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
         *keep, "raw", "_text", "_wire",
         *[F.expr(f"variant_get(_wire.`{f}`, '$', 'string')").alias(f"_f_{f}") for f in PAYLOAD_FIELDS],
     )
+    fields = with_timestamp_ms(fields, "_f_timestamp", "_ts_ms")
     ts_text = F.col("_f_timestamp")
     checked = fields.select(
         *keep, "raw",
         *[F.col(f"_f_{f}") for f in _STRING_FIELDS],
-        normalise_timestamp(ts_text).alias("_ts_ms"),
+        "_ts_ms",
         # An integer token beyond 64 bits is a decode error; an integer
         # string beyond 64 bits is merely no timestamp.
         F.coalesce(
