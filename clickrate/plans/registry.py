@@ -25,6 +25,7 @@ from clickrate.sources.events_adapter import load_events, raw_streams
 from clickrate.sources.result_table import read_raw_table
 
 HISTORY_PRODUCT = "product7"
+REPLAY_STEPS = 4
 ROUND = 9
 
 
@@ -171,6 +172,42 @@ def month_partition_roundtrip(spark, sf):
                        _ms("window_start"), _ms("window_end"), "window_month")
 
 
+# --- streaming (file replay of the whole table) -------------------------
+
+_REPLAYS: dict = {}
+
+
+def _replay(spark, sf):
+    """One replay per session and table, shared by the stream queries."""
+    from clickrate.streaming.replay import replay_events
+
+    key = (id(spark), sf)
+    if key not in _REPLAYS:
+        _REPLAYS[key] = replay_events(spark, sf, steps=REPLAY_STEPS)
+    return _REPLAYS[key]
+
+
+def stream_ctr_final(spark, sf):
+    """File streams run to the end; final row per window (K2 read side)."""
+    return _replay(spark, sf).tables.final_rows().select(
+        "product_id", "impressions", "clicks", "ctr", "window_start", "window_end")
+
+
+def stream_dlq_events(spark, sf):
+    """K6: the dead-letter table written by the DLQ stream."""
+    return spark.read.parquet(_replay(spark, sf).dlq_path).select("source", "error_message", "line")
+
+
+def stream_minute_rollup(spark, sf):
+    """K4: minute rollup merged from the per-batch delta states."""
+    return _minute_out(_replay(spark, sf).tables.minute_view())
+
+
+def stream_latest_per_product(spark, sf):
+    """K5: latest row per product merged from the per-batch partials."""
+    return _latest_out(_replay(spark, sf).tables.latest_view())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parsed_valid_events": parsed_valid_events,
     "dlq_events": dlq_events,
@@ -192,6 +229,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_ctr_24h": avg_ctr_24h,
     "result_count": result_count,
     "month_partition_roundtrip": month_partition_roundtrip,
+    "stream_ctr_final": stream_ctr_final,
+    "stream_dlq_events": stream_dlq_events,
+    "stream_minute_rollup": stream_minute_rollup,
+    "stream_latest_per_product": stream_latest_per_product,
 }
 
 
@@ -293,3 +334,7 @@ WHERE window_end >= (SELECT max(window_end) FROM ctr) - 86400000 GROUP BY produc
     "month_partition_roundtrip": _over_ctr10("""SELECT product_id, ctr, impressions, clicks, window_start, window_end,
        CAST(strftime(epoch_ms(window_end), '%Y%m') AS INTEGER) AS window_month FROM ctr"""),
 }
+ORACLE_SQL["stream_ctr_final"] = CTR10_SQL
+ORACLE_SQL["stream_dlq_events"] = ORACLE_SQL["dlq_events"]
+ORACLE_SQL["stream_minute_rollup"] = ORACLE_SQL["minute_rollup"]
+ORACLE_SQL["stream_latest_per_product"] = ORACLE_SQL["latest_per_product"]

@@ -76,3 +76,11 @@ def shared_dir(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = _checkpoint_base(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/clickrate/{leaf}"
+
+
+def ensure_dir(spark: SparkSession, path: str) -> str:
+    """Create ``path`` through the Hadoop file system (works for any scheme)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    return path
