@@ -81,18 +81,23 @@ def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
         *keep, "raw", "_text", "_wire",
         *[F.expr(f"variant_get(_wire.`{f}`, '$', 'string')").alias(f"_f_{f}") for f in PAYLOAD_FIELDS],
     )
-    fields = with_timestamp_ms(fields, "_f_timestamp", "_ts_ms")
-    ts_text = F.col("_f_timestamp")
+    # Integers within 64 bits decode to a BIGINT variant; a DECIMAL behind
+    # integer-looking text is a float token (``1.7e12`` style or ``5.0``,
+    # normalised) or an integer beyond 64 bits.  Only then is the type looked up.
+    digits = F.col("_f_timestamp").rlike(r"^-?[0-9]+$")
+    fields = fields.withColumn(
+        "_ts_decimal",
+        F.coalesce(digits & F.expr("schema_of_variant(_wire.`timestamp`)").startswith("DECIMAL"), F.lit(False)))
+    fields = fields.withColumn(
+        "_ts_text", F.when(~F.col("_ts_decimal"), F.col("_f_timestamp")))
+    fields = with_timestamp_ms(fields, "_ts_text", "_ts_ms")
     checked = fields.select(
         *keep, "raw",
         *[F.col(f"_f_{f}") for f in _STRING_FIELDS],
         "_ts_ms",
         # An integer token beyond 64 bits is a decode error; an integer
         # string beyond 64 bits is merely no timestamp.
-        F.coalesce(
-            ts_text.rlike(r"^-?[0-9]{19,}$")
-            & F.expr("schema_of_variant(_wire.`timestamp`)").startswith("DECIMAL"),
-            F.lit(False)).alias("_ts_overflow"),
+        (F.col("_ts_decimal") & (F.length(F.regexp_replace("_f_timestamp", "-", "")) >= 19)).alias("_ts_overflow"),
         reduce(lambda a, b: a | b, [_is_container(f) for f in _STRING_FIELDS]).alias("_container"),
         (F.col("_text").isNull() | F.col("_wire").isNull()
          | (F.col(f"_wire.{CORRUPT_COL}").isNotNull()
