@@ -25,17 +25,33 @@ def to_raw_rows(results: DataFrame, inserted_at=None) -> DataFrame:
     )
 
 
-def write_raw_table(rows: DataFrame, path: str, mode: str = "append", range_sorted: bool = True) -> None:
-    """K3.  ``range_sorted`` range-partitions on window_end first: each file
-    then covers one contiguous time slice (tight min/max for pruning) and the
-    per-task sort is by (window_end, product_id).  Streaming micro-batches
-    skip the exchange and only sort within their tasks."""
-    if range_sorted:
-        rows = rows.repartitionByRange("window_end")
+def write_raw_table(rows: DataFrame, path: str, mode: str = "append") -> None:
+    """K3: month folders, each task's rows sorted by (window_end, product_id).
+    No exchange is added: a range repartition here would sample, and so
+    recompute, the whole upstream aggregation.  ``compact_months`` gives
+    the stored months tight, non-overlapping time ranges per file later."""
     (rows.sortWithinPartitions("window_month", "window_end", "product_id")
          .write.mode(mode).partitionBy("window_month").parquet(path))
 
 
+def compact_months(spark, path: str, months: list[int], files_per_month: int | None = None) -> None:
+    """Rewrite the given month partitions range-partitioned on window_end so
+    each file covers one contiguous time slice (row-group and file min/max
+    pruning for time-range reads).  Reads the stored table, so the range
+    sampling only touches the window_end column of those months."""
+    from clickrate.schema import RAW_TABLE_SCHEMA
+
+    src = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path).filter(F.col("window_month").isin(months))
+    parts = files_per_month or spark.sparkContext.defaultParallelism
+    staged = path.rstrip("/") + "_compacting"
+    (src.repartitionByRange(parts, "window_month", "window_end")
+        .sortWithinPartitions("window_month", "window_end", "product_id")
+        .write.mode("overwrite").partitionBy("window_month").parquet(staged))
+    # Dynamic overwrite swaps in only the compacted months.
+    (spark.read.schema(RAW_TABLE_SCHEMA).parquet(staged).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("window_month").parquet(path))
+
+
 def export(rows: DataFrame, path: str, fmt: str = "csv") -> None:
     """K7: CSV with a header row, or Parquet."""
     writer = rows.write.mode("overwrite")
