@@ -41,11 +41,12 @@ def _step_bounds(payloads: DataFrame, steps: int, offset_ms: int = 0) -> list[in
 
 def replay_events(spark: SparkSession, sf_dir: str, steps: int = 4,
                   settings: WindowSettings = WindowSettings(), output_mode: str = "update",
-                  cut_offset_ms: int = 0, with_dlq: bool = True) -> ReplayResult:
+                  cut_offset_ms: int = 0, with_dlq: bool = True,
+                  product_buckets: int | None = None) -> ReplayResult:
     configure(spark)
     root = shared_dir(spark, "replay")
     in_imp, in_clk = f"{root}/in/impressions", f"{root}/in/clicks"
-    payloads = payload_json(load_events(spark, sf_dir)).select("source", "ts_ms", "json")
+    payloads = payload_json(load_events(spark, sf_dir), product_buckets).select("source", "ts_ms", "json")
     cuts = _step_bounds(payloads, steps, cut_offset_ms)
     edges = [None, *cuts, None]
 
