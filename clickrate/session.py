@@ -20,7 +20,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 _WORK_KEY = "spark.clickrate.workDir"
