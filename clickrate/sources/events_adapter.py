@@ -86,6 +86,9 @@ def raw_records(events: DataFrame, product_buckets: int | None = None) -> DataFr
 
 def raw_streams(events: DataFrame, product_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The two sources as separate DataFrames (impressions, clicks)."""
-    recs = raw_records(events, product_buckets)
-    return (recs.filter(F.col("source") == IMPRESSION_SOURCE),
-            recs.filter(F.col("source") == CLICK_SOURCE))
+    # Split on the scan's own column, in a form Parquet accepts as a pushed
+    # filter (the derived ``source`` column would be evaluated after the scan).
+    is_click = F.col("event_type") == "click"
+    imps = events.filter(~is_click | F.col("event_type").isNull())
+    clks = events.filter(is_click)
+    return raw_records(imps, product_buckets), raw_records(clks, product_buckets)
