@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from clickrate.plans.registry import ORACLE_SQL, QUERIES
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
-BATCH = [n for n in E.queries() if not n.startswith("stream_")]
+BATCH = [n for n in QUERIES if not n.startswith("stream_")]
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +17,8 @@ def con():
 
 @pytest.mark.parametrize("name", BATCH)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    problems, _ = compare(df, con, E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    problems, _ = compare(df, con, ORACLE_SQL[name])
     assert not problems, problems
 
 
