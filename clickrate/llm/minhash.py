@@ -10,8 +10,12 @@ is shifted circularly by k and never drawn anew.
 2. Signatures are cut into bands; every class is compared with one pivot of each of its
    buckets, on full sets.  That is linear in the number of classes.
 3. Links give components (large-star / small-star).
-4. Buckets that still hold several components get the pairs across components that a
-   1-bit sketch does not rule out; those are confirmed on full sets too.
+4. Buckets that still hold several components: the members outside a bucket's largest
+   component are held against its members in other components.  In buckets of up to SMALL
+   members a join lists those pairs (at most SMALL for a member) that a 1-bit sketch does
+   not rule out, and they are confirmed on full sets.  The larger buckets of one component
+   become one crowd, dealt into blocks; each pair of blocks counts the shared shingles of its
+   full sets in one task, and only links leave it, one for a document and component.
 
 Bands have a chance below 1e-6 to miss a pair at the threshold, the sketch's cut lies six
 standard deviations out; nothing else is lost and no bucket has a cap.
@@ -27,12 +31,14 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickrate.llm.common import WordHash, map_rows, stored
 
 K = 192
+SMALL, BLOCK_X, BLOCK_Y = 32, 256, 512
 MISS = 1e-6
 _C = np.uint64(0x9E3779B97F4A7C15)
 _D = np.uint64(0xD6E8FEB86659FD93)
@@ -167,6 +173,44 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: floa
     return map_rows(pairs.join(left, "a").join(right, "b"), make, "a long, b long", ["a", "b", "ta", "tb"], slice_rows=64)
 
 
+def _matcher(threshold: float):
+    percent = round(100 * threshold)
+
+    def match(rows: pd.DataFrame) -> pd.DataFrame:
+        """Links between the documents of side 0 and those of side 1 in other components."""
+        x, y = rows[rows["side"] == 0], rows[rows["side"] == 1]
+        sets = [np.frombuffer(b, np.uint64) for b in y["set"]]
+        size = np.array([len(s) for s in sets], np.int64)
+        root, node = y["root"].to_numpy(), y["node"].to_numpy()
+        flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], np.repeat(np.arange(len(sets)), size)[order]
+        out = []
+        for a, ra, blob in zip(x["node"], x["root"], x["set"]):
+            mine = np.frombuffer(blob, np.uint64)
+            low, high = np.searchsorted(flat, mine), np.searchsorted(flat, mine, "right")
+            n = high - low
+            at = np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            hit = np.flatnonzero((100 * both >= percent * (len(mine) + size - both)) & (root != ra))
+            out += [(a, node[k]) for k in hit[np.unique(root[hit], return_index=True)[1]]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return match
+
+
+def _crowd_links(crowd: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) inside each crowd (columns major, node, root), between documents outside
+    component ``major`` and documents of other components."""
+    size = crowd.groupBy("major").agg(F.ceil(F.count("*") / BLOCK_Y).alias("ny"), F.ceil(F.count_if(F.col("root") != F.col("major")) / BLOCK_X).alias("nx"))
+    rows = crowd.join(size, "major").join(sets, "node")
+    i, j = F.pmod(F.xxhash64("node"), F.col("nx")), F.pmod(F.xxhash64("node", F.lit(1)), F.col("ny"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    x = rows.filter("root <> major").select("major", "node", "root", "set", F.lit(0).alias("side"), i.alias("i"), spread("ny").alias("j"))
+    y = rows.select("major", "node", "root", "set", F.lit(1).alias("side"), spread("nx").alias("i"), j.alias("j"))
+    return x.unionByName(y).groupBy("major", "i", "j").applyInPandas(_matcher(threshold), "a long, b long")
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node that has a link.
     Alternates large-star and small-star until the links are stars."""
@@ -208,32 +252,42 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, thre
              .join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b").filter(near).select("a", "b"))
     pairs = stored(spark, first, "pairs")
 
-    def texts_of(p: DataFrame) -> DataFrame:
-        need = p.select(F.col("a").alias("node")).union(p.select("b")).distinct().join(classes.select("node", "rep"), "node")
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        need = nodes.distinct().join(classes.select("node", "rep"), "node")
         need = need.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
         hashed = docs.withColumn("text_hash", F.xxhash64("text"))
         got = hashed.join(need, hashed["doc_id"].eqNullSafe(need["rep_id"]) & (hashed["text_hash"] == need["rep_hash"]))
         return stored(spark, got.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
-    def confirm(p: DataFrame) -> DataFrame:
-        return stored(spark, _confirmed(p, texts_of(p), shingle, threshold), "confirmed")
+    def confirm(p: DataFrame, texts: DataFrame) -> DataFrame:
+        return stored(spark, _confirmed(p, texts, shingle, threshold), "confirmed")
 
-    links = confirm(pairs)
+    ends = lambda p: p.select(F.col("a").alias("node")).union(p.select("b"))
+    links = confirm(pairs, texts_of(ends(pairs)))
     roots = stored(spark, components(spark, links), "roots")
 
-    rooted = (shared.filter("n > 2").select("band", "node").join(roots, "node", "left")
-              .select("band", "node", F.coalesce("root", "node").alias("root")))
-    mixed = (rooted.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band")
-             .agg(F.max_by("root", F.struct("n", "root")).alias("major"), F.count("*").alias("roots")).filter("roots > 1"))
-    open_ = stored(spark, rooted.join(mixed.select("band", "major"), "band").join(sketch, "node"), "open")
-    x = open_.filter("root <> major").select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"))
-    y = open_.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("sb"), "major")
+    rooted = (shared.filter("n > 2").select("band", "node", "n").join(roots, "node", "left")
+              .select("band", "node", "n", F.coalesce("root", "node").alias("root")))
+    mixed = (rooted.groupBy("band", "root").agg(F.count("*").alias("share")).groupBy("band")
+             .agg(F.max_by("root", F.struct("share", "root")).alias("major"), F.count("*").alias("roots")).filter("roots > 1"))
+    open_ = stored(spark, rooted.join(mixed.select("band", "major"), "band"), "open")
+    few = open_.filter(f"n <= {SMALL}").join(sketch, "node")
+    x = few.filter("root <> major").select("band", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("sketch").alias("sa"))
+    y = few.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("sketch").alias("sb"), "major")
     across = (x.join(y, "band").filter((F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("major")) | (F.col("a") < F.col("b"))) & near)
               .select("a", "b").distinct())
-    known = pairs.union(pairs.select("b", "a"))
-    more = stored(spark, across.join(known, ["a", "b"], "left_anti"), "across")
-    if more.take(1):
-        links = links.union(confirm(more))
+    more = stored(spark, across.join(pairs.union(pairs.select("b", "a")), ["a", "b"], "left_anti"), "across")
+    crowd = stored(spark, open_.filter(f"n > {SMALL}").select("major", "node", "root").distinct(), "crowds")
+    texts = texts_of(ends(more).union(crowd.select("node")))
+
+    def sets():
+        words = WordHash()
+        return lambda cols: {"set": [shingle_set(t, shingle, words).tobytes() for t in cols["text"]]}
+
+    full = map_rows(texts.join(crowd.select("node").distinct(), "node"), sets, "set binary", ["text"], ["node"])
+    found = confirm(more, texts).union(stored(spark, _crowd_links(crowd, full, threshold), "crowd-links"))
+    if found.take(1):
+        links = links.union(found)
         roots = stored(spark, components(spark, links), "roots")
 
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
