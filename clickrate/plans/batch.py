@@ -13,9 +13,7 @@ from clickrate.operators.parse import dead_letters, parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import DEFAULT_WINDOW, compute_ctr
 from clickrate.session import configure
-from clickrate.sources.events_adapter import (
-    load_events, raw_records, raw_streams,
-)
+from clickrate.sources.events_adapter import load_events, raw_records
 
 
 @dataclass
@@ -32,18 +30,6 @@ class ParsedSources:
         return self.valid().filter(F.col("source") == name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a *scan* that has fewer splits than the cluster has task
-    slots (a few small or unsplittable files).  Large inputs already have at
-    least that many splits and are left alone, so no shuffle is added where
-    the scan parallelises by itself.  Call it on a plain scan: its partition
-    count comes from the file splits without running a job."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def parse_sources(raw: DataFrame) -> ParsedSources:
     """P1/P7 over (source, value) records of any number of sources."""
     return ParsedSources(parse_payloads(raw))
@@ -51,7 +37,7 @@ def parse_sources(raw: DataFrame) -> ParsedSources:
 
 def events_to_parsed(spark: SparkSession, sf_dir: str, product_buckets: int | None = None) -> ParsedSources:
     configure(spark)
-    return parse_sources(raw_records(spread(load_events(spark, sf_dir)), product_buckets))
+    return parse_sources(raw_records(load_events(spark, sf_dir), product_buckets))
 
 
 def ctr_from_parsed(parsed: ParsedSources, window: str = DEFAULT_WINDOW) -> DataFrame:
@@ -70,6 +56,5 @@ def ctr_from_streams(impressions_raw: DataFrame, clicks_raw: DataFrame,
 
 def batch_ctr(spark: SparkSession, sf_dir: str, window: str = DEFAULT_WINDOW,
               product_buckets: int | None = None) -> DataFrame:
-    configure(spark)
-    imps, clks = raw_streams(spread(load_events(spark, sf_dir)), product_buckets)
-    return ctr_from_streams(imps, clks, window)
+    """One scan and one parse of the records of both sources, then A1-A3."""
+    return ctr_from_parsed(events_to_parsed(spark, sf_dir, product_buckets), window)

@@ -7,6 +7,12 @@ partition overwrite, so a replay replaces exactly what the first attempt
 wrote, and readers merge versions (merge on read, like a replacing /
 aggregating merge tree).
 
+A query with a fresh checkpoint counts its batches from 0 again.  Its run (the
+streaming query's id, which lives in the checkpoint) therefore gets a base
+above every version written before, kept in ``_runs``; ``batch_id`` in the
+tables is base + batch, so later runs rank above earlier ones and never
+overwrite them, while a restart from the same checkpoint keeps its base.
+
 * ``final``: every emitted CTR row, partitioned by (window_month, batch_id).
   It is the emission log; ``final_rows`` keeps the last version per window.
 * ``minute_parts``: mergeable minute-rollup states.  In update mode a window
@@ -28,6 +34,7 @@ from clickrate.operators import rollups as R
 FINAL = "final"
 MINUTE_PARTS = "minute_parts"
 LATEST = "latest"
+RUNS = "_runs"
 
 
 def _write_version(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -60,14 +67,33 @@ class IncrementalTables:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._bases: dict[str, int] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     # -- write side (called once per micro-batch) --------------------------
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """``batch``: CTR rows (ms bounds) emitted by the stream in this batch."""
+    def _base(self, run: str) -> int:
+        """The version of the run's batch 0; looked up or set once per run."""
+        if run not in self._bases:
+            path = self.path(RUNS)
+            known = ({r["run"]: r["base"] for r in self.spark.read.schema("run string, base long").json(path).collect()}
+                     if _exists(self.spark, path) else {})
+            if run not in known:
+                newest = [v.agg(F.max("batch_id")).first()[0] for n in (FINAL, MINUTE_PARTS, LATEST)
+                          if (v := _versions(self.spark, self.path(n))) is not None]
+                known[run] = max([-1, *(int(x) for x in newest if x is not None)]) + 1
+                (self.spark.createDataFrame([(run, known[run])], "run string, base long")
+                 .coalesce(1).write.mode("append").json(path))
+            self._bases[run] = known[run]
+        return self._bases[run]
+
+    def apply_batch(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
+        """``batch``: CTR rows (ms bounds) emitted by the stream in this batch.  ``run``
+        names the checkpoint it belongs to (default: the id of the running query)."""
         spark = self.spark
+        run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        batch_id = self._base(run) + batch_id
         rows = (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
                 .withColumn("window_month", month_key(F.timestamp_millis("window_end")))
                 .withColumn("inserted_at", insert_time())

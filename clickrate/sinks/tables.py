@@ -29,27 +29,23 @@ def write_raw_table(rows: DataFrame, path: str, mode: str = "append") -> None:
     """K3: month folders, each task's rows sorted by (window_end, product_id).
     No exchange is added: a range repartition here would sample, and so
     recompute, the whole upstream aggregation.  ``compact_months`` gives
-    the stored months tight, non-overlapping time ranges per file later."""
+    stored months tight, non-overlapping time ranges per file later."""
     (rows.sortWithinPartitions("window_month", "window_end", "product_id")
          .write.mode(mode).partitionBy("window_month").parquet(path))
 
 
-def compact_months(spark, path: str, months: list[int], files_per_month: int | None = None) -> None:
-    """Rewrite the given month partitions range-partitioned on window_end so
-    each file covers one contiguous time slice (row-group and file min/max
-    pruning for time-range reads).  Reads the stored table, so the range
-    sampling only touches the window_end column of those months."""
+def compact_months(spark, path: str, dest: str, months: list[int], files_per_month: int = 8) -> None:
+    """Write the given months of the table at ``path`` to the table at ``dest``, in at most
+    ``files_per_month`` files a month that each cover one contiguous time slice (row-group and
+    file min/max pruning for time-range reads).  The source is left as it is, so rows appended
+    to it meanwhile are not lost; readers move to ``dest`` once appends have moved."""
     from clickrate.schema import RAW_TABLE_SCHEMA
 
-    src = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path).filter(F.col("window_month").isin(months))
-    parts = files_per_month or spark.sparkContext.defaultParallelism
-    staged = path.rstrip("/") + "_compacting"
-    (src.repartitionByRange(parts, "window_month", "window_end")
-        .sortWithinPartitions("window_month", "window_end", "product_id")
-        .write.mode("overwrite").partitionBy("window_month").parquet(staged))
-    # Dynamic overwrite swaps in only the compacted months.
-    (spark.read.schema(RAW_TABLE_SCHEMA).parquet(staged).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("window_month").parquet(path))
+    src = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
+    for month in months:
+        (src.filter(F.col("window_month") == month).repartitionByRange(files_per_month, "window_end", "product_id")
+            .sortWithinPartitions("window_end", "product_id")
+            .write.mode("append").partitionBy("window_month").parquet(dest))
 
 
 def export(rows: DataFrame, path: str, fmt: str = "csv") -> None:

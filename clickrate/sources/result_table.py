@@ -12,8 +12,8 @@ from clickrate.schema import RAW_TABLE_SCHEMA
 def read_raw_table(spark: SparkSession, path: str, start_ms: int | None = None,
                    end_ms: int | None = None) -> DataFrame:
     """Rows of ``ctr_results_raw``.  A time range on ``window_end`` also
-    becomes a ``window_month IN (...)`` filter so only those month folders
-    are listed and read; the ``window_end`` bounds reach the Parquet reader
+    becomes a filter on ``window_month`` (a list for a closed range, a bound
+    for one side) so only those month folders are read; the ``window_end`` bounds reach the Parquet reader
     as pushed filters (row groups are skipped by their min/max)."""
     df = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
     if start_ms is not None or end_ms is not None:
@@ -21,6 +21,10 @@ def read_raw_table(spark: SparkSession, path: str, start_ms: int | None = None,
         hi = end_ms if end_ms is not None else 253402300799000  # 9999-12-31
         if start_ms is not None and end_ms is not None:
             df = df.filter(F.col("window_month").isin(month_keys_between(lo, hi)))
+        elif start_ms is not None:
+            df = df.filter(F.col("window_month") >= month_keys_between(lo, lo)[0])
+        else:
+            df = df.filter(F.col("window_month") <= month_keys_between(hi, hi)[0])
         if start_ms is not None:
             df = df.filter(F.col("window_end") >= F.timestamp_millis(F.lit(lo)))
         if end_ms is not None:

@@ -66,23 +66,26 @@ def _fire_fn(settings: WindowSettings):
                 state.setTimeoutTimestamp(close_at - 1)
         else:
             data = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="stable")
-            if wm >= close_at:               # window closed: late rows vanish
-                if state.exists:
-                    state.remove()
-                return iter([])
             imps, clks, fired = ((int(state.get[0]), int(state.get[1]), bool(state.get[2]))
                                  if state.exists else (0, 0, False))
+            # The on-time row comes first: the watermark may pass both points
+            # in one batch, and a late row must not remove an unfired window.
             if state.exists and not fired and wm >= on_time_at:
                 out.append(row(pid, end, imps, clks, ON_TIME, None))
                 fired = True
+            if wm >= close_at:               # window closed: late rows vanish
+                if state.exists:
+                    state.remove()
+                data = data.iloc[:0]
             for etype, t in zip(data["event_type"], data["timestamp"]):
                 imps += int(etype in IMPRESSION_TYPES)
                 clks += int(etype == CLICK_TYPE)
                 if fired or wm >= on_time_at:
                     out.append(row(pid, end, imps, clks, LATE, int(t)))
                     fired = True
-            state.update((imps, clks, fired))
-            state.setTimeoutTimestamp((close_at if fired else on_time_at) - 1)
+            if wm < close_at:
+                state.update((imps, clks, fired))
+                state.setTimeoutTimestamp((close_at if fired else on_time_at) - 1)
         if not out:
             return iter([])
         return iter([pd.DataFrame(out, columns=["product_id", "window_start", "window_end", "impressions",

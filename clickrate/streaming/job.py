@@ -71,6 +71,9 @@ def start_ctr_query(results: DataFrame, tables: IncrementalTables, checkpoint: s
                     query_name: str | None = None):
     """K1/K2/K4/K5 through ``foreachBatch``; the query checkpoint holds the
     source offsets, watermark and window state (W7, W8)."""
+    setting = "spark.sql.streaming.statefulOperator.allowMultiple"
+    if results.sparkSession.conf.get(setting, "true") != "false":
+        raise ValueError(f"{setting} must be false: else the lateness bound is one batch late")
     writer = (results.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, batch_id: tables.apply_batch(df, batch_id)))
@@ -88,9 +91,8 @@ def start_dlq_query(impressions_raw: DataFrame, clicks_raw: DataFrame, path: str
 
 
 def progress_dropped_rows(query) -> int:
-    """Rows dropped as too late in the last micro-batch."""
-    p = query.lastProgress or {}
-    return sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+    """Rows dropped as too late over the micro-batches whose progress the query still holds."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
 __all__ = ["WindowSettings", "ctr_stream", "dlq_stream", "start_ctr_query", "start_dlq_query",
