@@ -98,7 +98,7 @@ def with_timestamp_ms(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
     leap = iso & (h == 23) & (mi == 59) & (sec == 60)
     off_total = F.coalesce(off_h * 3600 + off_m * 60 + off_s, F.lit(0))
     off_ms = (F.when(F.col("_ts_off_neg"), -1000).otherwise(1000) * off_total).cast("long")
-    ok = (is_date & (y >= 1) & d.between(1, 31) & (h.between(0, 23) | end_of_day)
+    ok = (is_date & ((y >= 1) | iso) & d.between(1, 31) & (h.between(0, 23) | end_of_day)
           & mi.between(0, 59) & (sec.between(0, 59) | leap)
           & F.coalesce((off_m <= 59) & (off_s <= 59) & (off_total <= 18 * 3600), F.lit(True)))
     # Smart resolution clamps a wall-clock day to the month end; an ISO

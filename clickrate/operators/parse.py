@@ -1,15 +1,17 @@
 """Decode raw payloads into events and split off dead letters.
 
-One pass of ``from_json`` decodes each payload into a struct of VARIANT
-fields, which keeps the JSON token type, so the contract's type rules are
-plain column expressions:
+One pass of ``from_json`` decodes each payload into text fields; numbers and
+booleans keep the text of their token.  Where that text leaves the JSON type
+open (it opens like a container, or is an integer too long for 64 bits), a
+second decode into VARIANT fields tells the type; other rows skip it.
 
 * string fields accept strings, numbers and booleans (as text); an object or
   array there is a decode error;
-* ``timestamp`` follows P2 (integer → ms, string → P2a, others → null);
-* a payload that is not a JSON object, is empty, or whose value is missing
-  is a decode error (``Malformed JSON``); the JSON literal ``null`` decodes
-  to nothing and is reported as ``Invalid event data``.
+* ``timestamp`` follows P2 (integer → ms, string → P2a, others → null); an
+  integer token beyond 64 bits is a decode error;
+* a payload that is not a JSON object, is empty, is not UTF-8, or whose value
+  is missing is a decode error (``Malformed JSON``); the JSON literal ``null``
+  decodes to nothing and is reported as ``Invalid event data``.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickrate.functions.dlq import dlq_line
-from clickrate.functions.timestamps import with_timestamp_ms
+from clickrate.functions.timestamps import INTEGER_TEXT, with_timestamp_ms
 from clickrate.functions.validity import is_valid
-from clickrate.schema import CORRUPT_COL, PAYLOAD_FIELDS, WIRE_SCHEMA
+from clickrate.schema import CORRUPT_COL, PAYLOAD_FIELDS, TYPE_PROBE_SCHEMA, WIRE_SCHEMA
 
 # Error texts of the envelope.
 INVALID_EVENT = "Invalid event data"
@@ -46,12 +48,30 @@ _NULL_DOCUMENT = r"(?s)^[ \t\r\n]*null([^\p{javaJavaIdentifierPart}].*)?$"
 _STRING_FIELDS = tuple(f for f in PAYLOAD_FIELDS if f != "timestamp")
 
 
-def _is_container(field: str) -> Column:
-    # Only text that opens like a container needs the (costlier) type probe.
-    return F.coalesce(
-        F.substring(F.col(f"_f_{field}"), 1, 1).isin("{", "[")
-        & F.expr(f"schema_of_variant(_wire.`{field}`)").rlike("^(OBJECT|ARRAY)"),
-        F.lit(False))
+# How the decoder prints a number token that has a fraction or an exponent.
+_PRINTED_FLOAT = r'^"?-?([0-9]+\.|[0-9.]+E|Infinity)'
+
+
+def _token_text(field: str) -> Column:
+    """The field's text.  The decoder prints a float token anew (``12.50`` as
+    ``12.5``), so for such texts the token itself is cut from the payload: the
+    last value of that key that is the same number.  An unescaped quote after
+    ``{``, ``,`` or white space opens a key or value, so no string content matches."""
+    text = F.col(f"_wire.`{field}`")
+    number = F.translate(text, '"', "").try_cast("double")
+    tokens = F.regexp_extract_all(
+        F.col("_text"), F.lit(rf'(?<=[{{,\s])"{field}"\s*:\s*"?(-?[0-9][0-9.eE+-]*)'), F.lit(1))
+    same = F.try_element_at(F.filter(tokens, lambda t: t.try_cast("double") == number), F.lit(-1))
+    return F.when(text.rlike(_PRINTED_FLOAT), F.coalesce(same, text)).otherwise(text)
+
+
+def _opens_container(field: str) -> Column:
+    return F.coalesce(F.substring(F.col(f"_f_{field}"), 1, 1).isin("{", "["), F.lit(False))
+
+
+def _probed_type(field: str) -> Column:
+    """JSON type of a probed field; null where the row was not probed."""
+    return F.expr(f"schema_of_variant(_probe.`{field}`)")
 
 
 def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -79,27 +99,25 @@ def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
     fields = decoded.select(
         *keep, "raw", "_text", "_wire",
-        *[F.expr(f"variant_get(_wire.`{f}`, '$', 'string')").alias(f"_f_{f}") for f in PAYLOAD_FIELDS],
+        *[_token_text(f).alias(f"_f_{f}") for f in _STRING_FIELDS],
+        F.col("_wire.timestamp").alias("_f_timestamp"),
     )
-    # Integers within 64 bits decode to a BIGINT variant; a DECIMAL behind
-    # integer-looking text is a float token (``1.7e12`` style or ``5.0``,
-    # normalised) or an integer beyond 64 bits.  Only then is the type looked up.
-    digits = F.col("_f_timestamp").rlike(r"^-?[0-9]+$")
-    fields = fields.withColumn(
-        "_ts_decimal",
-        F.coalesce(digits & F.expr("schema_of_variant(_wire.`timestamp`)").startswith("DECIMAL"), F.lit(False)))
-    fields = fields.withColumn(
-        "_ts_text", F.when(~F.col("_ts_decimal"), F.col("_f_timestamp")))
-    fields = with_timestamp_ms(fields, "_ts_text", "_ts_ms")
-    checked = fields.select(
+    fields = with_timestamp_ms(fields, "_f_timestamp", "_ts_ms")
+    long_integer = F.coalesce(F.col("_f_timestamp").rlike(INTEGER_TEXT) & F.col("_ts_ms").isNull(), F.lit(False))
+    fields = fields.withColumn("_long_integer", long_integer)
+    open_type = reduce(lambda a, b: a | b, [_opens_container(f) for f in _STRING_FIELDS]) | F.col("_long_integer")
+    probed = fields.withColumn("_probe", F.when(open_type, F.from_json("_text", TYPE_PROBE_SCHEMA, JSON_OPTIONS)))
+    checked = probed.select(
         *keep, "raw",
         *[F.col(f"_f_{f}") for f in _STRING_FIELDS],
         "_ts_ms",
         # An integer token beyond 64 bits is a decode error; an integer
         # string beyond 64 bits is merely no timestamp.
-        (F.col("_ts_decimal") & (F.length(F.regexp_replace("_f_timestamp", "-", "")) >= 19)).alias("_ts_overflow"),
-        reduce(lambda a, b: a | b, [_is_container(f) for f in _STRING_FIELDS]).alias("_container"),
-        (F.col("_text").isNull() | F.col("_wire").isNull()
+        (F.col("_long_integer") & ~F.coalesce(_probed_type("timestamp") == "STRING", F.lit(True))).alias("_ts_overflow"),
+        reduce(lambda a, b: a | b, [
+            _opens_container(f) & F.coalesce(_probed_type(f).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+            for f in _STRING_FIELDS]).alias("_container"),
+        (F.col("_text").isNull() | ~F.is_valid_utf8("_text") | F.col("_wire").isNull()
          | (F.col(f"_wire.{CORRUPT_COL}").isNotNull()
             & ~F.coalesce(F.col("_text").rlike(_NULL_DOCUMENT), F.lit(False)))).alias("_undecodable"),
     )

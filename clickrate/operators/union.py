@@ -15,6 +15,5 @@ def union_events(*streams: DataFrame) -> DataFrame:
     source.  Works on batch and streaming frames (watermarks combine with the
     session's multiple-watermark policy, min by default)."""
     merged = reduce(lambda a, b: a.unionByName(b), streams)
-    # implied by validity already; the optimizer drops it when the
-    # child's constraints prove it, so it costs nothing on parsed input.
+    # implied by validity already, kept as the job's own second check.
     return merged.filter(has_product_id(F.col("product_id")))

@@ -5,14 +5,15 @@ from pyspark.sql import types as T
 # Fields of one event payload, in payload order.
 PAYLOAD_FIELDS = ("event_id", "event_type", "product_id", "user_id", "timestamp", "session_id")
 
-# Wire schema for the JSON decode: every field as VARIANT so the parser keeps
-# the JSON token type (number / string / object ...) in one pass, plus the
-# corrupt-record column of PERMISSIVE mode.
+# Wire schema for the JSON decode: every field as the text of its token, plus
+# the corrupt-record column of PERMISSIVE mode.
 CORRUPT_COL = "_corrupt"
 WIRE_SCHEMA = T.StructType(
-    [T.StructField(f, T.VariantType(), True) for f in PAYLOAD_FIELDS]
+    [T.StructField(f, T.StringType(), True) for f in PAYLOAD_FIELDS]
     + [T.StructField(CORRUPT_COL, T.StringType(), True)]
 )
+# The same fields as VARIANT, which keeps the JSON type of the token.
+TYPE_PROBE_SCHEMA = T.StructType([T.StructField(f, T.VariantType(), True) for f in PAYLOAD_FIELDS])
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType(), True),

@@ -34,9 +34,7 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_ms(ts: Column) -> Column:
     """Floor of a (NTZ or UTC) timestamp in epoch ms."""
-    micros = F.unix_micros(ts.cast("timestamp"))
-    # exact integer floor division (no trip through a double)
-    return ((micros - F.pmod(micros, F.lit(1000))) / F.lit(1000)).cast("long")
+    return F.unix_millis(ts.cast("timestamp"))
 
 
 def product_of(props: Column, product_buckets: int | None = None) -> Column:
