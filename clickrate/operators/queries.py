@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickrate.functions.timekeys import month_keys_between
+
 
 def as_of_point(rows: DataFrame, as_of: int | None = None, col: str = "window_end") -> Column:
     if as_of is not None:
@@ -41,8 +43,21 @@ def last_hour(rows: DataFrame, as_of: int | None = None) -> DataFrame:
 
 def avg_ctr_since(rows: DataFrame, seconds: int = 86_400, as_of: int | None = None) -> DataFrame:
     """Average CTR per product over the trailing period."""
-    return (since(rows, seconds, as_of)
-            .groupBy("product_id").agg(F.avg("ctr").alias("avg_ctr")))
+    return average_ctr(since(rows, seconds, as_of))
+
+
+def average_ctr(rows: DataFrame) -> DataFrame:
+    """Unweighted average CTR per product."""
+    return rows.groupBy("product_id").agg(F.avg("ctr").alias("avg_ctr"))
+
+
+def average_ctr_from_parts(parts: DataFrame, start_ms: int) -> DataFrame:
+    """The same from minute parts (partitioned by ``window_month``) since ``start_ms``: one
+    aggregate over the stored sums and counts."""
+    month = month_keys_between(start_ms, start_ms)[0]
+    recent = parts.filter((F.col("window_month") >= month)
+                          & (F.col("window_minute") >= F.timestamp_millis(F.lit(start_ms))))
+    return recent.groupBy("product_id").agg((F.sum("ctr_sum") / F.sum("ctr_n")).alias("avg_ctr"))
 
 
 def row_count(rows: DataFrame) -> DataFrame:

@@ -18,10 +18,11 @@ from clickrate.operators import rollups as R
 from clickrate.operators.parse import parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import count_exprs, merge_counts, window_counts, with_event_time, with_ratio
+from clickrate.plans import stored
 from clickrate.plans.batch import batch_ctr, events_to_parsed
 from clickrate.session import configure, shared_dir
 from clickrate.sinks.tables import to_raw_rows, write_raw_table
-from clickrate.sources.events_adapter import load_events, raw_streams
+from clickrate.sources.events_adapter import load_events, raw_streams, shaped_records
 from clickrate.sources.result_table import read_raw_table
 
 HISTORY_PRODUCT = "product7"
@@ -66,6 +67,13 @@ def union_events_q(spark, sf):
     return u.select("source", "product_id", "event_type", "timestamp")
 
 
+def payload_shapes(spark, sf):
+    """P1, P2, P7 on the rarer payload shapes, one for each event."""
+    configure(spark)
+    parsed = parse_payloads(shaped_records(load_events(spark, sf)))
+    return parsed.select("event_id", "event.product_id", "event.timestamp", "error_message")
+
+
 # --- windowed CTR --------------------------------------------------------
 
 def ctr_10s(spark, sf):
@@ -181,7 +189,7 @@ def _replay(spark, sf):
     """One replay per session and table, shared by the stream queries."""
     from clickrate.streaming.replay import replay_events
 
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _REPLAYS:
         _REPLAYS[key] = replay_events(spark, sf, steps=REPLAY_STEPS)
     return _REPLAYS[key]
@@ -196,7 +204,7 @@ def refire_double_count(spark, sf):
     from clickrate.streaming.job import WindowSettings
     from clickrate.streaming.replay import replay_events
 
-    key = (id(spark), sf, "refire")
+    key = (spark.sparkContext.applicationId, sf, "refire")
     if key not in _REPLAYS:
         _REPLAYS[key] = replay_events(spark, sf, steps=REPLAY_STEPS, settings=WindowSettings(window_s=86_400),
                                       with_dlq=False, product_buckets=5)
@@ -261,6 +269,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_minute_rollup": stream_minute_rollup,
     "stream_latest_per_product": stream_latest_per_product,
     "refire_double_count": refire_double_count,
+    "payload_shapes": payload_shapes,
+    **stored.QUERIES,
 }
 
 
@@ -391,3 +401,48 @@ SELECT product_id, window_start + 86400000 AS window_minute,
        CAST(sum(ci) AS BIGINT) AS log_impressions, CAST(sum(cc) AS BIGINT) AS log_clicks,
        CAST(sum(imps) AS BIGINT) AS final_impressions, CAST(sum(clks) AS BIGINT) AS final_clicks
 FROM em GROUP BY 1, 2"""
+
+ORACLE_SQL["payload_shapes"] = """WITH e AS (
+  SELECT event_id, event_type, json_extract_string(props, '$.k') AS k, event_id % 10 AS shape, epoch_us(ts) // 1000 AS ms
+  FROM events
+),
+f AS (
+  SELECT *, CASE WHEN shape IN (2, 4, 9) THEN 'Malformed JSON'
+                 WHEN shape IN (3, 5) OR event_type NOT IN ('view', 'impression', 'click') THEN 'Invalid event data'
+            END AS error_message
+  FROM e
+)
+SELECT event_id, error_message,
+       CASE WHEN error_message IS NOT NULL THEN NULL
+            WHEN shape = 0 THEN k || '.50'
+            WHEN shape = 1 THEN repeat('1', 20) || lpad(k, 21, '0')
+            ELSE 'product' || k END AS product_id,
+       CASE WHEN error_message IS NOT NULL THEN NULL
+            WHEN shape = 6 THEN ms // 1000 * 1000
+            WHEN shape = 8 THEN -62167219200000
+            ELSE ms END AS "timestamp"
+FROM f"""
+
+
+def _over_store(body: str) -> str:
+    return f"WITH ctr AS ({_ctr_sql(stored.WINDOW_MS, MOD5_PRODUCT)})\n{body}"
+
+
+_DAY_SQL = "window_end >= (SELECT max(window_end) FROM ctr) - 86400000"
+_CTR_COLUMNS = "product_id, ctr, impressions, clicks, window_start, window_end"
+_AVG_DAY_SQL = f"SELECT product_id, round(avg(ctr), 9) AS avg_ctr FROM ctr WHERE {_DAY_SQL} GROUP BY product_id"
+ORACLE_SQL |= {
+    "stored_count": _over_store("SELECT count(*) AS n FROM ctr"),
+    "stored_last_day": _over_store(f"SELECT {_CTR_COLUMNS} FROM ctr WHERE {_DAY_SQL}"),
+    "stored_avg_ctr_24h": _over_store(_AVG_DAY_SQL),
+    "stored_avg_ctr_24h_rollup": _over_store(_AVG_DAY_SQL),
+    "stored_minute_rollup": _over_store(_MINUTE_SQL),
+    "stored_minute_series": _over_store(f"""SELECT product_id, window_minute, avg_ctr FROM ({_MINUTE_SQL}) m
+WHERE window_minute >= (SELECT max(window_end) FROM ctr) - 86400000 ORDER BY product_id, window_minute LIMIT 20"""),
+    "stored_latest_top10": _over_store(f"SELECT * FROM ({_LATEST_SQL}) l ORDER BY window_end DESC, product_id LIMIT 10"),
+    "stored_latest_lookup": _over_store(f"SELECT * FROM ({_LATEST_SQL}) l WHERE product_id = '{stored.PRODUCT}'"),
+    "stored_recent_top5": _over_store("""SELECT product_id, impressions, clicks, ctr, window_end FROM ctr
+ORDER BY window_end DESC, product_id LIMIT 5"""),
+    "stored_product_history": _over_store(f"""SELECT product_id, impressions, clicks, ctr, window_start, window_end
+FROM ctr WHERE product_id = '{stored.PRODUCT}'"""),
+}

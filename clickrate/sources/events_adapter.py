@@ -90,3 +90,32 @@ def raw_streams(events: DataFrame, product_buckets: int | None = None) -> tuple[
     imps = events.filter(~is_click | F.col("event_type").isNull())
     clks = events.filter(is_click)
     return raw_records(imps, product_buckets), raw_records(clks, product_buckets)
+
+
+def shaped_records(events: DataFrame) -> DataFrame:
+    """(event_id, source, value binary) rows in which ``event_id % 10`` picks a rarer payload
+    shape: number tokens as product id (0 with trailing zero, 1 with 41 digits), a byte that is
+    no UTF-8 (2), a float (3), 40-digit integer (4) and 40-digit text (5) as timestamp, wall
+    clock (6), an instant with an offset of nine hours (7), the year 0 (8), an object as
+    product id (9)."""
+    ms = event_ms(F.col("ts"))
+    k = F.get_json_object("props", "$.k")
+    shape = F.pmod("event_id", F.lit(10))
+    product = (F.when(shape == 0, F.concat(k, F.lit(".50")))
+               .when(shape == 1, F.concat(F.lit("1" * 20), F.lpad(k, 21, "0")))
+               .when(shape == 9, F.concat(F.lit('{"k":'), k, F.lit("}")))
+               .otherwise(F.concat(F.lit('"product'), k, F.lit('"'))))
+    stamp = (F.when(shape == 3, F.concat(ms.cast("string"), F.lit(".0")))
+             .when(shape == 4, F.lpad(ms.cast("string"), 40, "7"))
+             .when(shape == 5, F.concat(F.lit('"'), F.lpad(ms.cast("string"), 40, "7"), F.lit('"')))
+             .when(shape == 6, F.date_format(F.timestamp_millis(ms), "'\"'yyyy-MM-dd HH:mm:ss'\"'"))
+             .when(shape == 7, F.date_format(F.timestamp_millis(ms + 9 * 3_600_000),
+                                             "'\"'yyyy-MM-dd'T'HH:mm:ss.SSS'+09:00\"'"))
+             .when(shape == 8, F.lit('"0000-01-01T00:00:00Z"'))
+             .otherwise(ms.cast("string")))
+    head = F.concat(F.lit('{"event_type":"'), F.col("event_type"), F.lit('","user_id":"u'))
+    tail = F.concat(F.lit('","product_id":'), product, F.lit(',"timestamp":'), stamp, F.lit("}"))
+    odd = F.when(shape == 2, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    return events.select(
+        "event_id", F.lit(IMPRESSION_SOURCE).alias("source"),
+        F.concat(F.encode(head, "UTF-8"), odd, F.encode(tail, "UTF-8")).alias("value"))

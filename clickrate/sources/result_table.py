@@ -13,8 +13,9 @@ def read_raw_table(spark: SparkSession, path: str, start_ms: int | None = None,
                    end_ms: int | None = None) -> DataFrame:
     """Rows of ``ctr_results_raw``.  A time range on ``window_end`` also
     becomes a filter on ``window_month`` (a list for a closed range, a bound
-    for one side) so only those month folders are read; the ``window_end`` bounds reach the Parquet reader
-    as pushed filters (row groups are skipped by their min/max)."""
+    for one side) so only those month folders are read; the ``window_end``
+    bounds reach the Parquet reader as pushed filters (row groups are skipped
+    by their min/max)."""
     df = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
     if start_ms is not None or end_ms is not None:
         lo = start_ms if start_ms is not None else 0
@@ -30,3 +31,13 @@ def read_raw_table(spark: SparkSession, path: str, start_ms: int | None = None,
         if end_ms is not None:
             df = df.filter(F.col("window_end") <= F.timestamp_millis(F.lit(hi)))
     return df
+
+
+def newest_end_ms(spark: SparkSession, path: str) -> int | None:
+    """The latest window_end as epoch ms (null for an empty table): the newest month is found
+    from the folder keys, then only that month is read."""
+    df = spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
+    month = df.agg(F.max("window_month")).first()[0]
+    if month is None:
+        return None
+    return df.filter(F.col("window_month") == month).agg(F.max(F.unix_millis("window_end"))).first()[0]
