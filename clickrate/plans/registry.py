@@ -23,7 +23,7 @@ from clickrate.plans.batch import batch_ctr, events_to_parsed
 from clickrate.session import configure, shared_dir
 from clickrate.sinks.tables import to_raw_rows, write_raw_table
 from clickrate.sources.events_adapter import load_events, raw_streams, shaped_records
-from clickrate.sources.result_table import read_raw_table
+from clickrate.sources.result_table import newest_end_ms, read_raw_table
 
 HISTORY_PRODUCT = "product7"
 REPLAY_STEPS = 4
@@ -183,15 +183,20 @@ def month_partition_roundtrip(spark, sf):
 # --- streaming (file replay of the whole table) -------------------------
 
 _REPLAYS: dict = {}
+WINDOW_6H = 21_600
+HELD_EVERY = 7
+FRESH_FROM = 2
 
 
-def _replay(spark, sf):
-    """One replay per session and table, shared by the stream queries."""
+def _replay(spark, sf, name: str = "plain", window_s: int | None = None, **kw):
+    """One replay per application, table and name, shared by the stream queries."""
+    from clickrate.streaming.job import WindowSettings
     from clickrate.streaming.replay import replay_events
 
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _REPLAYS:
-        _REPLAYS[key] = replay_events(spark, sf, steps=REPLAY_STEPS)
+        settings = WindowSettings(window_s=window_s) if window_s else WindowSettings()
+        _REPLAYS[key] = replay_events(spark, sf, REPLAY_STEPS, settings, **kw)
     return _REPLAYS[key]
 
 
@@ -201,14 +206,7 @@ def refire_double_count(spark, sf):
     mode emits a split window twice.  The minute rollup of the emission log
     (what a view fed by every emitted row shows) counts such windows twice;
     the rollup of final rows does not."""
-    from clickrate.streaming.job import WindowSettings
-    from clickrate.streaming.replay import replay_events
-
-    key = (spark.sparkContext.applicationId, sf, "refire")
-    if key not in _REPLAYS:
-        _REPLAYS[key] = replay_events(spark, sf, steps=REPLAY_STEPS, settings=WindowSettings(window_s=86_400),
-                                      with_dlq=False, product_buckets=5)
-    tables = _REPLAYS[key].tables
+    tables = _replay(spark, sf, "refire", 86_400, with_dlq=False, product_buckets=5).tables
     cols = ["product_id", "impressions", "clicks", "window_end"]
     tagged = (tables.emission_log().select(*cols, F.lit(True).alias("is_log"))
               .unionByName(tables.final_rows().select(*cols, F.lit(False).alias("is_log"))))
@@ -224,8 +222,37 @@ def refire_double_count(spark, sf):
 
 def stream_ctr_final(spark, sf):
     """File streams run to the end; final row per window (K2 read side)."""
-    return _replay(spark, sf).tables.final_rows().select(
-        "product_id", "impressions", "clicks", "ctr", "window_start", "window_end")
+    return _final(_replay(spark, sf))
+
+
+def _final(replay) -> DataFrame:
+    return replay.tables.final_rows().select("product_id", "impressions", "clicks", "ctr", "window_start", "window_end")
+
+
+def stream_late_rows(spark, sf):
+    """Every seventh event comes one step late.  It counts only in
+    windows that the watermark (slower source's newest event - 10 s) has not closed."""
+    return _final(_replay(spark, sf, "late", WINDOW_6H, with_dlq=False, product_buckets=5, held_every=HELD_EVERY))
+
+
+def stream_append_final(spark, sf):
+    """K1: append mode with the same late rows; one row per window that has closed."""
+    return _final(_replay(spark, sf, "append", WINDOW_6H, with_dlq=False, product_buckets=5, held_every=HELD_EVERY,
+                          output_mode="append"))
+
+
+def stream_restart_final(spark, sf):
+    """The third step starts on a fresh checkpoint: earlier rows stay, and a window
+    that the cut splits shows the newer run's row."""
+    return _final(_replay(spark, sf, "restart", WINDOW_6H, with_dlq=False, product_buckets=5, fresh_from=FRESH_FROM))
+
+
+def stream_stored_last_day(spark, sf):
+    """F6 on the table that the stream wrote: emitted rows of the last day, re-fired ones included."""
+    path = _replay(spark, sf, "restart", WINDOW_6H, with_dlq=False, product_buckets=5, fresh_from=FRESH_FROM).tables.path("final")
+    newest = newest_end_ms(spark, path) or 0
+    rows = read_raw_table(spark, path, start_ms=newest - 86_400_000)
+    return rows.select("product_id", "ctr", "impressions", "clicks", _ms("window_start"), _ms("window_end"))
 
 
 def stream_dlq_events(spark, sf):
@@ -270,6 +297,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest_per_product": stream_latest_per_product,
     "refire_double_count": refire_double_count,
     "payload_shapes": payload_shapes,
+    "stream_late_rows": stream_late_rows,
+    "stream_append_final": stream_append_final,
+    "stream_restart_final": stream_restart_final,
+    "stream_stored_last_day": stream_stored_last_day,
     **stored.QUERIES,
 }
 
@@ -446,3 +477,42 @@ ORDER BY window_end DESC, product_id LIMIT 5"""),
     "stored_product_history": _over_store(f"""SELECT product_id, impressions, clicks, ctr, window_start, window_end
 FROM ctr WHERE product_id = '{stored.PRODUCT}'"""),
 }
+
+_6H_MS = WINDOW_6H * 1000
+# Valid events with their slice and delivery step; the watermark a step starts with.
+_STEPS_SQL = f"""WITH {_events_cte(MOD5_PRODUCT)},
+b AS (SELECT min(ts_ms) AS lo, (max(ts_ms) - min(ts_ms) + {REPLAY_STEPS}) // {REPLAY_STEPS} AS width FROM ev),
+p AS (
+  SELECT ev.*, ts_ms // {_6H_MS} * {_6H_MS} AS window_start,
+         least((ts_ms - lo) // width, {REPLAY_STEPS - 1}) AS slice,
+         least((ts_ms - lo) // width, {REPLAY_STEPS - 1}) + CASE WHEN event_id % {HELD_EVERY} = 0 THEN 1 ELSE 0 END AS step
+  FROM ev, b WHERE error_message IS NULL
+),
+wm AS (
+  SELECT s.step, least((SELECT max(ts_ms) FROM p WHERE source = 'Click' AND p.step < s.step),
+                       (SELECT max(ts_ms) FROM p WHERE source = 'Impression' AND p.step < s.step)) - 10000 AS mark
+  FROM range({REPLAY_STEPS + 2}) s(step)
+)"""
+_COUNTS = """CAST(count(*) FILTER (WHERE event_type IN ('view', 'impression')) AS BIGINT) AS impressions,
+         CAST(count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS clicks"""
+_CTR_OF_C = f"""SELECT product_id, impressions, clicks,
+       CASE WHEN impressions = 0 THEN 0.0 ELSE clicks::DOUBLE / impressions END AS ctr,
+       window_start, window_start + {_6H_MS} AS window_end
+FROM c"""
+_LATE_SQL = f"""{_STEPS_SQL},
+c AS (
+  SELECT product_id, window_start, {_COUNTS}
+  FROM p JOIN wm USING (step) WHERE mark IS NULL OR window_start + {_6H_MS} > mark GROUP BY ALL
+)
+{_CTR_OF_C}"""
+_RESTART_SQL = f"""{_STEPS_SQL},
+r AS (SELECT *, slice >= {FRESH_FROM} AS run, max(slice >= {FRESH_FROM}) OVER (PARTITION BY product_id, window_start) AS newest FROM p),
+c AS (SELECT product_id, window_start, {_COUNTS} FROM r WHERE run = newest GROUP BY ALL)
+{_CTR_OF_C}"""
+ORACLE_SQL |= {
+    "stream_late_rows": _LATE_SQL,
+    "stream_append_final": f"""{_LATE_SQL} WHERE window_start + {_6H_MS} <= (SELECT mark FROM wm WHERE step = {REPLAY_STEPS + 1})""",
+    "stream_restart_final": _RESTART_SQL,
+    "stream_stored_last_day": f"""SELECT {_CTR_COLUMNS} FROM ({_RESTART_SQL}) f
+WHERE window_end >= (SELECT max(ts_ms) // {_6H_MS} * {_6H_MS} + {_6H_MS} FROM ({_STEPS_SQL} SELECT ts_ms FROM p) v) - 86400000""",
+}

@@ -13,8 +13,9 @@ above every version written before, kept in ``_runs``; ``batch_id`` in the
 tables is base + batch, so later runs rank above earlier ones and never
 overwrite them, while a restart from the same checkpoint keeps its base.
 
-* ``final``: every emitted CTR row, partitioned by (window_month, batch_id).
-  It is the emission log; ``final_rows`` keeps the last version per window.
+* ``final``: every emitted CTR row in the columns of ``ctr_results_raw``,
+  partitioned by (window_month, batch_id).  ``read_raw_table`` reads it as the
+  log of all emitted rows; ``final_rows`` keeps the last version per window.
 * ``minute_parts``: mergeable minute-rollup states.  In update mode a window
   can be emitted again with larger counts, so each batch writes the
   *difference* to the window's previous version; summing parts then equals
@@ -27,14 +28,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickrate.functions.timekeys import insert_time, minute_bucket, month_key
+from clickrate.functions.timekeys import minute_bucket, month_key
 from clickrate.operators import rollups as R
+from clickrate.schema import LATEST_SCHEMA, MINUTE_PARTS_SCHEMA, RAW_TABLE_SCHEMA
+from clickrate.sinks.tables import to_raw_rows
 
 FINAL = "final"
 MINUTE_PARTS = "minute_parts"
 LATEST = "latest"
 RUNS = "_runs"
+_MONTH, _BATCH = T.StructField("window_month", T.IntegerType()), T.StructField("batch_id", T.LongType())
+_SCHEMAS = {FINAL: T.StructType([*RAW_TABLE_SCHEMA.fields, _BATCH]),
+            MINUTE_PARTS: T.StructType([*MINUTE_PARTS_SCHEMA.fields, _MONTH, _BATCH]),
+            LATEST: T.StructType([*LATEST_SCHEMA.fields, _BATCH])}
 
 
 def _write_version(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -49,12 +57,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if _exists(spark, path) else None
-
-
 def final_rows_from(versions: DataFrame) -> DataFrame:
-    """Last version of each (product_id, window) → CTR rows (ms bounds)."""
+    """Last version of each (product_id, window) → CTR rows."""
     best = F.max_by(F.struct("impressions", "clicks", "ctr", "window_end"), F.col("batch_id"))
     return (versions.groupBy("product_id", "window_start").agg(best.alias("_b"))
             .select("product_id", F.col("_b.impressions").alias("impressions"),
@@ -72,6 +76,9 @@ class IncrementalTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.schema(_SCHEMAS[name]).parquet(self.path(name))
+
     # -- write side (called once per micro-batch) --------------------------
     def _base(self, run: str) -> int:
         """The version of the run's batch 0; looked up or set once per run."""
@@ -80,8 +87,8 @@ class IncrementalTables:
             known = ({r["run"]: r["base"] for r in self.spark.read.schema("run string, base long").json(path).collect()}
                      if _exists(self.spark, path) else {})
             if run not in known:
-                newest = [v.agg(F.max("batch_id")).first()[0] for n in (FINAL, MINUTE_PARTS, LATEST)
-                          if (v := _versions(self.spark, self.path(n))) is not None]
+                newest = [self._read(n).agg(F.max("batch_id")).first()[0] for n in (FINAL, MINUTE_PARTS, LATEST)
+                          if _exists(self.spark, self.path(n))]
                 known[run] = max([-1, *(int(x) for x in newest if x is not None)]) + 1
                 (self.spark.createDataFrame([(run, known[run])], "run string, base long")
                  .coalesce(1).write.mode("append").json(path))
@@ -94,38 +101,33 @@ class IncrementalTables:
         spark = self.spark
         run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
         batch_id = self._base(run) + batch_id
-        rows = (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .withColumn("window_month", month_key(F.timestamp_millis("window_end")))
-                .withColumn("inserted_at", insert_time())
-                .persist())
+        version = F.lit(batch_id).cast("long")
+        rows = to_raw_rows(batch).withColumn("batch_id", version).persist()
         try:
-            self._write_minute_deltas(spark, rows, batch_id)
-            latest = R.latest_per_product(rows.select(
-                "product_id", "ctr", "impressions", "clicks",
-                F.timestamp_millis("window_end").alias("window_end"), "batch_id"), ("batch_id",))
-            _write_version(latest.withColumn("batch_id", F.lit(batch_id).cast("long")),
-                           self.path(LATEST), ["batch_id"])
+            self._write_minute_deltas(rows, batch_id)
+            latest = R.latest_per_product(rows, ("batch_id",)).withColumn("batch_id", version)
+            _write_version(latest, self.path(LATEST), ["batch_id"])
             _write_version(rows.sortWithinPartitions("window_month", "window_end", "product_id"),
                            self.path(FINAL), ["window_month", "batch_id"])
         finally:
             rows.unpersist()
 
-    def _write_minute_deltas(self, spark: SparkSession, rows: DataFrame, batch_id: int) -> None:
-        history = _versions(spark, self.path(FINAL))
+    def _write_minute_deltas(self, rows: DataFrame, batch_id: int) -> None:
         cur = rows.select("product_id", "window_start", "window_end", "window_month",
                           "impressions", "clicks", "ctr")
-        if history is not None:
+        if _exists(self.spark, self.path(FINAL)):
             # Earlier versions of the windows this batch touches: same months
             # (partition pruning), earlier batches, and the batch's window
             # range (row-group skipping on the sorted files).
             # Three numbers and a few month keys per batch reach the driver,
             # so they become literal filters: static partition pruning plus
             # pushed-down Parquet filters.
-            b = rows.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi"),
+            start_ms = F.unix_millis("window_start")
+            b = rows.agg(F.min(start_ms).alias("lo"), F.max(start_ms).alias("hi"),
                          F.collect_set("window_month").alias("months")).first()
-            prev = (history.filter(F.col("window_month").isin(list(b["months"] or [])))
+            prev = (self._read(FINAL).filter(F.col("window_month").isin(list(b["months"] or [])))
                     .filter(F.col("batch_id") < batch_id)
-                    .filter(F.col("window_start").between(b["lo"], b["hi"])))
+                    .filter(F.col("window_start").between(F.timestamp_millis(F.lit(b["lo"])), F.timestamp_millis(F.lit(b["hi"])))))
             prev = final_rows_from(prev).select(
                 "product_id", "window_start",
                 F.col("impressions").alias("p_imp"), F.col("clicks").alias("p_clk"), F.col("ctr").alias("p_ctr"))
@@ -136,12 +138,12 @@ class IncrementalTables:
         first = F.col("p_imp").isNull()
         delta = cur.select(
             "product_id", "window_month",
-            minute_bucket(F.timestamp_millis("window_end")).alias("window_minute"),
+            minute_bucket(F.col("window_end")).alias("window_minute"),
             (F.col("ctr") - F.coalesce("p_ctr", F.lit(0.0))).alias("ctr_sum"),
             F.when(first, 1).otherwise(0).cast("long").alias("ctr_n"),
             (F.col("impressions") - F.coalesce("p_imp", F.lit(0))).alias("impressions"),
             (F.col("clicks") - F.coalesce("p_clk", F.lit(0))).alias("clicks"),
-            F.timestamp_millis("window_end").alias("latest_window"))
+            F.col("window_end").alias("latest_window"))
         parts = R.merge_minute_parts(delta.drop("window_month")).withColumns({
             "window_month": month_key(F.col("window_minute")),
             "batch_id": F.lit(batch_id).cast("long")})
@@ -149,13 +151,15 @@ class IncrementalTables:
 
     # -- read side ------------------------------------------------------------
     def emission_log(self) -> DataFrame:
-        return self.spark.read.parquet(self.path(FINAL))
+        """Every emitted row, with ms bounds."""
+        ms = {c: F.unix_millis(c) for c in ("window_start", "window_end")}
+        return self._read(FINAL).withColumns(ms)
 
     def final_rows(self) -> DataFrame:
         return final_rows_from(self.emission_log())
 
     def minute_view(self) -> DataFrame:
-        return R.finish_minute(self.spark.read.parquet(self.path(MINUTE_PARTS)).drop("window_month", "batch_id"))
+        return R.finish_minute(self._read(MINUTE_PARTS).drop("window_month", "batch_id"))
 
     def latest_view(self) -> DataFrame:
-        return R.latest_merge(self.spark.read.parquet(self.path(LATEST)), "batch_id")
+        return R.latest_merge(self._read(LATEST), "batch_id")

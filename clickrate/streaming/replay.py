@@ -1,11 +1,15 @@
 """Replays of the driver's ``events`` table as two file streams.
 
-The payloads are written to one folder per source, cut into ``steps``
-consecutive event-time slices; after each slice is written the stream runs
-with ``trigger(availableNow=True)`` from its checkpoint, so every slice is
-one micro-batch and every step also exercises a restart from the
-checkpoint.  Slices are in time order, so no row is late and the final
-table equals the batch job's result.
+The payloads are staged once, by delivery step and source: ``steps``
+consecutive event-time slices.  Step by step they are put into one folder per
+source and the stream runs with ``trigger(availableNow=True)`` from its
+checkpoint, so every slice is one micro-batch and every step also exercises a
+restart from the checkpoint.
+
+With slices in time order no row is late and the final table equals the batch
+job's result.  ``held_every`` delivers each row whose event_id it divides one
+step later than the others, so rows come late; ``fresh_from`` lets the job go
+on with a new checkpoint and new folders from that step.
 """
 
 from __future__ import annotations
@@ -33,44 +37,42 @@ class ReplayResult:
     batches: int
 
 
-def _step_bounds(payloads: DataFrame, steps: int, offset_ms: int = 0) -> list[int]:
+def step_width(payloads: DataFrame, steps: int) -> tuple[int, int]:
+    """Start of the first slice and width of each, in ms."""
     lo, hi = payloads.agg(F.min("ts_ms"), F.max("ts_ms")).first()
-    width = max(1, (hi - lo + steps) // steps)
-    return [lo + offset_ms + i * width for i in range(1, steps)]
+    return lo, (hi - lo + steps) // steps
 
 
 def replay_events(spark: SparkSession, sf_dir: str, steps: int = 4,
                   settings: WindowSettings = WindowSettings(), output_mode: str = "update",
-                  cut_offset_ms: int = 0, with_dlq: bool = True,
-                  product_buckets: int | None = None) -> ReplayResult:
+                  with_dlq: bool = True, product_buckets: int | None = None,
+                  held_every: int | None = None, fresh_from: int | None = None) -> ReplayResult:
     configure(spark)
     root = shared_dir(spark, "replay")
-    in_imp, in_clk = f"{root}/in/impressions", f"{root}/in/clicks"
-    payloads = payload_json(load_events(spark, sf_dir), product_buckets).select("source", "ts_ms", "json")
-    cuts = _step_bounds(payloads, steps, cut_offset_ms)
-    edges = [None, *cuts, None]
+    payloads = payload_json(load_events(spark, sf_dir), product_buckets).select("event_id", "source", "ts_ms", "json")
+    lo, width = step_width(payloads, steps)
+    step = F.expr(f"least((ts_ms - {lo}L) div {width}L, {steps - 1}L)")
+    if held_every:
+        step = step + F.when(F.col("event_id") % held_every == 0, 1).otherwise(0)
+    staged = f"{root}/staged"
+    payloads.select("source", "json", step.cast("int").alias("step")).write.partitionBy("step", "source").parquet(staged)
 
-    ensure_dir(spark, in_imp)
-    ensure_dir(spark, in_clk)
-    imp_raw = stream_payload_files(spark, in_imp, IMPRESSION_SOURCE)
-    clk_raw = stream_payload_files(spark, in_clk, CLICK_SOURCE)
     tables = IncrementalTables(spark, f"{root}/tables")
-    results = ctr_stream(imp_raw, clk_raw, settings)
     dlq_path = f"{root}/dlq"
-    batches = 0
-    for i in range(steps):
-        lo, hi = edges[i], edges[i + 1]
-        part = payloads
-        if lo is not None:
-            part = part.filter(F.col("ts_ms") >= lo)
-        if hi is not None:
-            part = part.filter(F.col("ts_ms") < hi)
-        for source, folder in ((IMPRESSION_SOURCE, in_imp), (CLICK_SOURCE, in_clk)):
+    batches, run = 0, None
+    for i in range(steps + bool(held_every)):
+        if run is None or i == fresh_from:
+            run = f"run{i}"
+            folders = {s: ensure_dir(spark, f"{root}/{run}/in/{s}") for s in (IMPRESSION_SOURCE, CLICK_SOURCE)}
+            imp_raw, clk_raw = (stream_payload_files(spark, path, s) for s, path in folders.items())
+            results = ctr_stream(imp_raw, clk_raw, settings)
+        part = spark.read.schema("json string, step int, source string").parquet(staged).filter(F.col("step") == i)
+        for source, folder in folders.items():
             part.filter(F.col("source") == source).select("json").write.mode("append").text(folder)
-        q = start_ctr_query(results, tables, f"{root}/chk/ctr", output_mode, AVAILABLE_NOW)
+        q = start_ctr_query(results, tables, f"{root}/{run}/chk/ctr", output_mode, AVAILABLE_NOW)
         q.awaitTermination()
-        batches += len(q.recentProgress and [p for p in q.recentProgress if p.get("numInputRows", 0) > 0] or [])
+        batches += len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
         if with_dlq:
-            d = start_dlq_query(imp_raw, clk_raw, dlq_path, f"{root}/chk/dlq", AVAILABLE_NOW)
-            d.awaitTermination()
+            # a second read and decode of both sources: the dead letters are their own query
+            start_dlq_query(imp_raw, clk_raw, dlq_path, f"{root}/{run}/chk/dlq", AVAILABLE_NOW).awaitTermination()
     return ReplayResult(tables, dlq_path, batches)
