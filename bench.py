@@ -21,12 +21,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from clickrate.functions.timekeys import month_key  # noqa: E402
 from clickrate.operators import queries as Q  # noqa: E402
 from clickrate.operators import rollups as R  # noqa: E402
 from clickrate.plans.batch import batch_ctr, events_to_parsed  # noqa: E402
 from clickrate.session import get_session, shared_dir  # noqa: E402
 from clickrate.sinks.tables import to_raw_rows, write_raw_table  # noqa: E402
-from clickrate.sources.result_table import read_raw_table  # noqa: E402
+from clickrate.sources.result_table import newest_end_ms, read_raw_table  # noqa: E402
+from clickrate.streaming.replay import replay_events  # noqa: E402
 
 
 def _sink(df):
@@ -70,34 +72,41 @@ def main() -> None:
     times["write_raw_table"] = time.perf_counter() - t
     raw = read_raw_table(spark, raw_path)
     t = time.perf_counter()
-    R.minute_parts(raw).write.mode("overwrite").parquet(parts_path)
-    R.latest_per_product(raw).write.mode("overwrite").parquet(latest_path)
+    (R.minute_parts(raw).withColumn("window_month", month_key(F.col("window_minute")))
+     .write.mode("overwrite").partitionBy("window_month").parquet(parts_path))
+    R.latest_per_product(raw).sortWithinPartitions("product_id").write.mode("overwrite").parquet(latest_path)
     times["build_rollups"] = time.perf_counter() - t
 
-    as_of = raw.agg(F.unix_millis(F.max("window_end"))).first()[0]
+    as_of = newest_end_ms(spark, raw_path)
     latest = spark.read.parquet(latest_path)
     parts = spark.read.parquet(parts_path)
     raw_24h = read_raw_table(spark, raw_path, as_of - 86_400_000, as_of)
     raw_1h = read_raw_table(spark, raw_path, as_of - 3_600_000, as_of)
 
     times["lookup_latest_view"] = _timed(lambda: Q.point_lookup(latest, "product7").collect(), 5)
-    times["product_history_raw"] = _timed(lambda: Q.product_history(raw, "product7").collect(), 5)
-    times["last_hour_raw"] = _timed(lambda: Q.last_hour(raw_1h, as_of).collect(), 5)
+    times["product_history_raw"] = _timed(lambda: _sink(Q.product_history(raw, "product7")), 5)
+    times["last_hour_raw"] = _timed(lambda: _sink(Q.last_hour(raw_1h, as_of)), 5)
     times["avg_ctr_24h_raw"] = _timed(lambda: Q.avg_ctr_since(raw_24h, 86_400, as_of).collect(), 5)
-    times["avg_ctr_24h_rollup"] = _timed(lambda: R.finish_minute(
-        parts.filter(F.col("window_minute") >= F.timestamp_millis(F.lit(as_of - 86_400_000))))
-        .groupBy("product_id").agg((F.sum(F.col("avg_ctr") * 1)).alias("s")).collect(), 5)
+    times["avg_ctr_24h_rollup"] = _timed(lambda: Q.average_ctr_from_parts(parts, as_of - 86_400_000).collect(), 5)
     times["latest_top10"] = _timed(lambda: Q.top_recent(latest, 10).collect(), 5)
     times["minute_series_10m"] = _timed(lambda: Q.minute_series(
         R.finish_minute(parts), 10, as_of).collect(), 5)
     times["result_count"] = _timed(lambda: Q.row_count(raw).collect(), 5)
 
+    # One run each, in two steps, not part of the total: file streams → tables, and the same with dead letters.
+    streams = {"stream_2_steps": _timed(lambda: replay_events(spark, sf_dir, 2, with_dlq=False), 1),
+               "stream_2_steps_and_dlq": _timed(lambda: replay_events(spark, sf_dir, 2), 1)}
+    # Building the plan alone, part of every pipeline run above.
+    plan = _timed(lambda: batch_ctr(spark, sf_dir)._jdf.queryExecution().executedPlan())
+
     total = sum(times.values())
     out = {
         "metric": "ctr_pipeline_and_queries_total",
         "value": round(total, 4),
         "unit": "sec",
         "queries": {k: round(v, 4) for k, v in times.items()},
+        "streams": {k: round(v, 4) for k, v in streams.items()},
+        "plan_ctr_10s": round(plan, 4),
         "sf": sf,
         "events": n_events,
         "events_per_sec": round(n_events / times["ctr_10s_pipeline"], 1),
