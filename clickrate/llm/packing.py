@@ -12,6 +12,8 @@ leaves the least room (best fit).  After an epoch each island sends its elite to
 island of its shard.  An island stops early when its bins reach the lower bound, the
 shard's tokens over the length, rounded up.
 
+A special token's string in a text is ordinary text.
+
 Defined results: null or empty text: one piece with the separator alone.  Repeated rows and
 null ids are packed like any others.  An empty table gives no rows.  Other columns are
 ignored, whatever their names.

@@ -1,15 +1,17 @@
 """Token ids by a public byte-level BPE vocabulary, word by word from a cache.
 
-A pre-token of this vocabulary's pattern never goes past a single space that has other
-characters on both sides, but for taking that space as its first character.  So a text
-without double spaces can be cut at its spaces, and each part's ids looked up; other texts
-are encoded whole.  tests/llm holds the ids against the ``tokenizers`` library's.
+A pre-token of this vocabulary's pattern that holds a character other than white space
+has white space as its first character only, and that is one space.  So a text in which
+every space follows a character that is no white space can be cut at its spaces, and each
+part's ids looked up; other texts are encoded whole.  tests/llm holds the ids against the
+``tokenizers`` library's.
 """
 
 from __future__ import annotations
 
 import array
 import base64
+import re
 
 import public_tokenizers
 import tiktoken
@@ -17,6 +19,7 @@ import tiktoken
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END = 50256
 _MOST, _LONGEST = 250_000, 48
+_RUN = re.compile(r"\s ")
 _LOADED: dict[str, WordIds] = {}
 
 
@@ -45,7 +48,7 @@ class WordIds:
         """The ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        if "  " in text:
+        if _RUN.search(text):
             return array.array("I", self.encode(text)).tobytes()
         parts = text.split(" ")
         return self.first[parts[0]] + b"".join(map(self.spaced.__getitem__, parts[1:]))

@@ -124,6 +124,11 @@ def test_token_ids_and_counts_equal_the_library(spark, docs, tmp_path):
     texts = [r["text"] for r in table(spark, SF, "documents").collect()] + [r[1] or "" for r in ROWS]
     for x in texts:
         assert np.frombuffer(word_ids().ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids
+    rng = np.random.default_rng(4)
+    marks = ["a", "The", " ", " ", "\n", "\r", "\t", "\x1c", "\x85", "\u00a0", "\u3000", "\u200b", "'s", "12", ".", "!?", "\u4e2d"]
+    for n in rng.integers(1, 12, 5000):  # white space of every kind beside single spaces
+        x = "".join(marks[k] for k in rng.integers(0, len(marks), n))
+        assert np.frombuffer(word_ids().ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.op4_token_counts(spark, SF).collect()}
     assert got == {r["doc_id"]: len(t.encode(r["text"], add_special_tokens=False).ids) for r in table(spark, SF, "documents").collect()}
     for size in (1, 3, 100):  # real flat files, blocks that cut documents anywhere
@@ -142,7 +147,10 @@ def test_repeats_against_brute_force():
         assert (longest, cover3, cover8) == (max(common, default=0), covered(3), covered(8))
 
 
-def test_nested_url_rules(spark):
+@pytest.mark.parametrize("salt_rows", [1_000_000, 1])
+def test_nested_url_rules(spark, monkeypatch, salt_rows):
+    monkeypatch.setattr(urls, "SALTS", 2)
+    monkeypatch.setattr(urls, "SALT_ROWS", salt_rows)
     rules = [("com", "/", "block"), ("a.com", "/x", "allow"), ("a.com", "/x/y/", "block"), ("b.a.com", "/x/", "allow"), ("", "/", "block"), ("a.com", "/x", "block"), (None, "/", "block")]
     pages = [(i, f"http://{h}{p}") for i, (h, p) in enumerate((h, p) for h in ("a.com", "c.a.com", "b.a.com", "xa.com", "com", "com.org") for p in ("/", "/x", "/xz", "/x/y/z", "/x/z", ""))]
     got = urls.judged(spark.createDataFrame([p + ("h", "s") for p in pages], "page_id long, url string, host string, suffix string"), urls.rule_table(spark, rules)).collect()
