@@ -13,8 +13,9 @@ The rule around a rule is found by an equality join on its own prefixes, so the
 for each place is one rule, however many are nested.  A url's answer is the longest rule
 over the suffixes of its host.
 
-Urls are dealt over SALTS parts of each host suffix, to each of which the (few) rules of
-that suffix are copied: a host with a third of all urls has its rows in SALTS groups.
+Urls are dealt over the salts of each host suffix, to each of which the (few) rules of that
+suffix are copied: a host with a third of all urls has its rows in as many groups.  There is
+a salt for every SALT_ROWS pages, and SALTS at least, so a group does not grow with the table.
 
 Defined results: null urls and urls without ``://``: empty host and path, no rule, the
 default verdict.  Rules with a null or empty host or path never fit; of equal rules the
@@ -31,7 +32,7 @@ from pyspark.sql import Window as W
 
 from clickrate.llm.common import table
 
-SALTS = 64
+SALTS, SALT_ROWS = 64, 1_000_000
 #: Host, path, verdict of the production rules.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 _LAST = "\U0010FFFF"
@@ -74,11 +75,12 @@ def rule_events(rules: DataFrame) -> DataFrame:
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
+    salts = max(SALTS, -(-pages.count() // SALT_ROWS))
     rows = parts(pages).withColumn("row", F.monotonically_increasing_id())
     url = (rows.withColumn("suffix", F.explode(_suffixes(F.col("host"))))
            .select("row", "page_id", "host", "path", "suffix", _key(F.col("suffix"), F.col("path")).alias("at"), F.lit(1).alias("turn"),
-                   F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("top")))
-    rule = rule_events(rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+                   F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("top")))
+    rule = rule_events(rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     events = url.unionByName(rule, allowMissingColumns=True)
     sweep = W.partitionBy("suffix", "salt").orderBy("at", "turn").rowsBetween(W.unboundedPreceding, W.currentRow)
     met = events.withColumn("met", F.last("top", ignorenulls=True).over(sweep)).filter("row is not null")
