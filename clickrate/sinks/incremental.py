@@ -14,14 +14,23 @@ tables is base + batch, so later runs rank above earlier ones and never
 overwrite them, while a restart from the same checkpoint keeps its base.
 
 * ``final``: every emitted CTR row in the columns of ``ctr_results_raw``,
-  partitioned by (window_month, batch_id).  ``read_raw_table`` reads it as the
-  log of all emitted rows; ``final_rows`` keeps the last version per window.
+  partitioned by (segment, window_month, batch_id).  ``read_raw_table`` reads it
+  as the log of all emitted rows; ``final_rows`` keeps the last version per window.
 * ``minute_parts``: mergeable minute-rollup states.  In update mode a window
   can be emitted again with larger counts, so each batch writes the
   *difference* to the window's previous version; summing parts then equals
   the rollup of final rows (no double counting of re-fired windows).
 * ``latest``: per batch, the latest row per product; ``latest_view`` merges
   the batch partials with the same ordering (window_end, batch).
+
+Every ``compact_every`` versions are a segment.  The first batch of a segment
+merges the segments before it into the bases: the months they touch are written
+anew as a generation, the others stay where they are, and a manifest that is
+written last names the folder of each month.  Versions below the running batch
+are committed and never replayed, so nothing that is merged changes later.
+Batches and views read the bases and the segments since, so what they list does
+not grow with the age of the job.  Base folders that two generations have
+replaced are deleted; the log itself stays.
 """
 
 from __future__ import annotations
@@ -38,11 +47,13 @@ from clickrate.sinks.tables import to_raw_rows
 FINAL = "final"
 MINUTE_PARTS = "minute_parts"
 LATEST = "latest"
-RUNS = "_runs"
+RUNS, BASES, MANIFEST = "_runs", "bases", "manifest"
+COMPACT_EVERY = 100
 _MONTH, _BATCH = T.StructField("window_month", T.IntegerType()), T.StructField("batch_id", T.LongType())
 _SCHEMAS = {FINAL: T.StructType([*RAW_TABLE_SCHEMA.fields, _BATCH]),
             MINUTE_PARTS: T.StructType([*MINUTE_PARTS_SCHEMA.fields, _MONTH, _BATCH]),
             LATEST: T.StructType([*LATEST_SCHEMA.fields, _BATCH])}
+_MANIFEST_SCHEMA = "name string, month int, generation long, current boolean"
 
 
 def _write_version(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -50,13 +61,43 @@ def _write_version(df: DataFrame, path: str, partition_cols: list[str]) -> None:
        .partitionBy(*partition_cols).parquet(path))
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop(spark, path)
     return fs.exists(hpath)
 
 
+def _numbered(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers n of the folders ``key=n`` in ``path``, in order."""
+    fs, hpath = _hadoop(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}="))
+
+
+def _merged(name: str, rows: DataFrame, version: int) -> DataFrame:
+    """The rows of one table with what later versions replace left out; ``version`` is the
+    highest that can be among them."""
+    if name == FINAL:
+        rest = [c for c in _SCHEMAS[FINAL].names if c not in ("product_id", "window_start", "window_month")]
+        best = F.max_by(F.struct(*rest), F.col("batch_id")).alias("_b")
+        out = rows.groupBy("product_id", "window_start", "window_month").agg(best).select("product_id", "window_start", "window_month", "_b.*")
+    elif name == MINUTE_PARTS:
+        out = R.merge_minute_parts(rows).withColumns({"window_month": month_key(F.col("window_minute")), "batch_id": F.lit(version).cast("long")})
+    else:
+        rest = [c for c in _SCHEMAS[LATEST].names if c != "product_id"]
+        order = F.struct("window_end", "batch_id", (F.col("latest_impressions") + F.col("latest_clicks")).alias("_total"))
+        out = rows.groupBy("product_id").agg(F.max_by(F.struct(*rest), order).alias("_b")).select("product_id", "_b.*")
+    return out.select(_SCHEMAS[name].names)
+
+
+def _ms_bounds(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.unix_millis(c) for c in ("window_start", "window_end")})
+
+
 def final_rows_from(versions: DataFrame) -> DataFrame:
     """Last version of each (product_id, window) → CTR rows."""
     best = F.max_by(F.struct("impressions", "clicks", "ctr", "window_end"), F.col("batch_id"))
@@ -69,15 +110,73 @@ def final_rows_from(versions: DataFrame) -> DataFrame:
 class IncrementalTables:
     """The three tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = COMPACT_EVERY):
+        """``compact_every`` must stay the same for the life of the tables."""
+        self.spark, self.root, self.every = spark, root.rstrip("/"), compact_every
         self._bases: dict[str, int] = {}
+        self._manifests: dict[int, list] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(_SCHEMAS[name]).parquet(self.path(name))
+    # -- folders ---------------------------------------------------------------
+    def _files(self, name: str, root: str, folders: list[str]) -> DataFrame:
+        schema = _SCHEMAS[name]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders).select(schema.names)
+
+    def _log(self, name: str, first: int = 0, end: int | None = None) -> DataFrame:
+        """The rows of the segments from ``first`` up to ``end``."""
+        path = self.path(name)
+        return self._files(name, path, [f"{path}/segment={k}" for k in _numbered(self.spark, path, "segment")
+                                        if k >= first and (end is None or k < end)])
+
+    def _manifest(self) -> tuple[int, list]:
+        """The newest generation that is complete (0: none yet) and its rows, one for a month."""
+        path = self.path(MANIFEST)
+        for g in reversed(_numbered(self.spark, path, "generation")):
+            if g not in self._manifests and _exists(self.spark, f"{path}/generation={g}/_SUCCESS"):
+                self._manifests = {g: self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{path}/generation={g}").collect()}
+            if g in self._manifests:
+                return g, self._manifests[g]
+        return 0, []
+
+    def _folder(self, row) -> str:
+        return f"{self.path(BASES)}/{row['name']}/generation={row['generation']}" + ("" if row["month"] is None else f"/window_month={row['month']}")
+
+    def _base_rows(self, name: str, entries: list, months: list[int] | None = None) -> DataFrame:
+        mine = [e for e in entries if e["name"] == name and e["current"] and (months is None or e["month"] in months)]
+        return self._files(name, f"{self.path(BASES)}/{name}", [self._folder(e) for e in mine])
+
+    def _read(self, name: str, months: list[int] | None = None) -> DataFrame:
+        """Base and later segments (of the given months)."""
+        generation, entries = self._manifest()
+        log = self._log(name, generation)
+        return self._base_rows(name, entries, months).unionByName(log if months is None else log.filter(F.col("window_month").isin(months)))
+
+    def compact(self, segment: int) -> None:
+        """Merge all segments before ``segment`` into the bases."""
+        generation, entries = self._manifest()
+        for e in entries:  # replaced a generation ago: no reader looks there any more
+            if not e["current"]:
+                fs, folder = _hadoop(self.spark, self._folder(e))
+                fs.delete(folder, True)
+        now = {(e["name"], e["month"]): e["generation"] for e in entries if e["current"]}
+        old = []
+        for name in _SCHEMAS:
+            log = self._log(name, generation, segment)
+            months = [r[0] for r in log.select("window_month").distinct().collect()] if name != LATEST else [None]
+            if not months:
+                continue
+            rows = self._base_rows(name, entries, months).unionByName(log)
+            writer = _merged(name, rows, segment * self.every - 1).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (writer if name == LATEST else writer.partitionBy("window_month")).parquet(f"{self.path(BASES)}/{name}/generation={segment}")
+            old += [(name, m, now[name, m], False) for m in months if (name, m) in now]
+            now |= {(name, m): segment for m in months}
+        rows = [(name, month, g, True) for (name, month), g in now.items()] + old
+        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("overwrite").json(f"{self.path(MANIFEST)}/generation={segment}"))
 
     # -- write side (called once per micro-batch) --------------------------
     def _base(self, run: str) -> int:
@@ -87,8 +186,7 @@ class IncrementalTables:
             known = ({r["run"]: r["base"] for r in self.spark.read.schema("run string, base long").json(path).collect()}
                      if _exists(self.spark, path) else {})
             if run not in known:
-                newest = [self._read(n).agg(F.max("batch_id")).first()[0] for n in (FINAL, MINUTE_PARTS, LATEST)
-                          if _exists(self.spark, self.path(n))]
+                newest = [self._read(n).agg(F.max("batch_id")).first()[0] for n in _SCHEMAS]
                 known[run] = max([-1, *(int(x) for x in newest if x is not None)]) + 1
                 (self.spark.createDataFrame([(run, known[run])], "run string, base long")
                  .coalesce(1).write.mode("append").json(path))
@@ -101,40 +199,37 @@ class IncrementalTables:
         spark = self.spark
         run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
         batch_id = self._base(run) + batch_id
+        generation, segment = self._manifest()[0], batch_id // self.every
+        if segment > generation:
+            self.compact(segment)
+        segment = F.lit(max(segment, generation)).cast("long")
         version = F.lit(batch_id).cast("long")
         rows = to_raw_rows(batch).withColumn("batch_id", version).persist()
         try:
-            self._write_minute_deltas(rows, batch_id)
-            latest = R.latest_per_product(rows, ("batch_id",)).withColumn("batch_id", version)
-            _write_version(latest, self.path(LATEST), ["batch_id"])
-            _write_version(rows.sortWithinPartitions("window_month", "window_end", "product_id"),
-                           self.path(FINAL), ["window_month", "batch_id"])
+            self._write_minute_deltas(rows, batch_id, segment)
+            latest = R.latest_per_product(rows, ("batch_id",)).withColumns({"batch_id": version, "segment": segment})
+            _write_version(latest, self.path(LATEST), ["segment", "batch_id"])
+            _write_version(rows.withColumn("segment", segment).sortWithinPartitions("window_month", "window_end", "product_id"),
+                           self.path(FINAL), ["segment", "window_month", "batch_id"])
         finally:
             rows.unpersist()
 
-    def _write_minute_deltas(self, rows: DataFrame, batch_id: int) -> None:
-        cur = rows.select("product_id", "window_start", "window_end", "window_month",
-                          "impressions", "clicks", "ctr")
-        if _exists(self.spark, self.path(FINAL)):
-            # Earlier versions of the windows this batch touches: same months
-            # (partition pruning), earlier batches, and the batch's window
-            # range (row-group skipping on the sorted files).
-            # Three numbers and a few month keys per batch reach the driver,
-            # so they become literal filters: static partition pruning plus
-            # pushed-down Parquet filters.
-            start_ms = F.unix_millis("window_start")
-            b = rows.agg(F.min(start_ms).alias("lo"), F.max(start_ms).alias("hi"),
-                         F.collect_set("window_month").alias("months")).first()
-            prev = (self._read(FINAL).filter(F.col("window_month").isin(list(b["months"] or [])))
-                    .filter(F.col("batch_id") < batch_id)
-                    .filter(F.col("window_start").between(F.timestamp_millis(F.lit(b["lo"])), F.timestamp_millis(F.lit(b["hi"])))))
-            prev = final_rows_from(prev).select(
-                "product_id", "window_start",
-                F.col("impressions").alias("p_imp"), F.col("clicks").alias("p_clk"), F.col("ctr").alias("p_ctr"))
-            cur = cur.join(prev, ["product_id", "window_start"], "left")
-        else:
-            cur = (cur.withColumn("p_imp", F.lit(None).cast("long")).withColumn("p_clk", F.lit(None).cast("long"))
-                   .withColumn("p_ctr", F.lit(None).cast("double")))
+    def _write_minute_deltas(self, rows: DataFrame, batch_id: int, segment) -> None:
+        # Earlier versions of the windows this batch touches: same months
+        # (partition pruning), earlier batches, and the batch's window
+        # range (row-group skipping on the sorted files).
+        # Three numbers and a few month keys per batch reach the driver,
+        # so they become literal filters: static partition pruning plus
+        # pushed-down Parquet filters.
+        start_ms = F.unix_millis("window_start")
+        b = rows.agg(F.min(start_ms).alias("lo"), F.max(start_ms).alias("hi"),
+                     F.collect_set("window_month").alias("months")).first()
+        prev = (self._read(FINAL, list(b["months"] or [])).filter(F.col("batch_id") < batch_id)
+                .filter(F.col("window_start").between(F.timestamp_millis(F.lit(b["lo"])), F.timestamp_millis(F.lit(b["hi"])))))
+        prev = final_rows_from(prev).select(
+            "product_id", "window_start",
+            F.col("impressions").alias("p_imp"), F.col("clicks").alias("p_clk"), F.col("ctr").alias("p_ctr"))
+        cur = rows.join(prev, ["product_id", "window_start"], "left")
         first = F.col("p_imp").isNull()
         delta = cur.select(
             "product_id", "window_month",
@@ -146,17 +241,16 @@ class IncrementalTables:
             F.col("window_end").alias("latest_window"))
         parts = R.merge_minute_parts(delta.drop("window_month")).withColumns({
             "window_month": month_key(F.col("window_minute")),
-            "batch_id": F.lit(batch_id).cast("long")})
-        _write_version(parts, self.path(MINUTE_PARTS), ["window_month", "batch_id"])
+            "batch_id": F.lit(batch_id).cast("long"), "segment": segment})
+        _write_version(parts, self.path(MINUTE_PARTS), ["segment", "window_month", "batch_id"])
 
     # -- read side ------------------------------------------------------------
     def emission_log(self) -> DataFrame:
         """Every emitted row, with ms bounds."""
-        ms = {c: F.unix_millis(c) for c in ("window_start", "window_end")}
-        return self._read(FINAL).withColumns(ms)
+        return _ms_bounds(self._log(FINAL))
 
     def final_rows(self) -> DataFrame:
-        return final_rows_from(self.emission_log())
+        return final_rows_from(_ms_bounds(self._read(FINAL)))
 
     def minute_view(self) -> DataFrame:
         return R.finish_minute(self._read(MINUTE_PARTS).drop("window_month", "batch_id"))

@@ -1,11 +1,14 @@
 """Cases in which rows were once lost, and the settings that guard against them."""
 
+import os
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from clickrate.plans.batch import batch_ctr
-from clickrate.sinks.incremental import IncrementalTables
+from clickrate.operators import rollups as R
+from clickrate.sinks.incremental import FINAL, LATEST, MINUTE_PARTS, IncrementalTables, _ms_bounds, final_rows_from
 from clickrate.sinks.tables import compact_months, to_raw_rows, write_raw_table
 from clickrate.sources.kafka import kafka_reader
 from clickrate.sources.result_table import read_raw_table
@@ -31,6 +34,36 @@ def test_fresh_checkpoint_keeps_earlier_rows(spark, tmp_path):
     assert views() == before
 
 
+def test_fifty_batches_read_a_constant_number_of_folders(spark, tmp_path):
+    tables, read = IncrementalTables(spark, str(tmp_path), compact_every=8), []
+    seen = tables._files
+
+    def files(name, root, folders):
+        read.append(sum(any(x.endswith(".parquet") for x in names) for f in folders for _, _, names in os.walk(f)))
+        return seen(name, root, folders)
+
+    tables._files, per_batch = files, []
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for n in range(50):  # batch n emits window n first, and window n - 1 again with more impressions
+            rows = [("a", 4, 2, 0.5, 10_000 * n, 10_000 * n + 10_000), ("a", 8, 2, 0.25, 10_000 * n - 10_000, 10_000 * n)]
+            read.clear()
+            tables.apply_batch(spark.createDataFrame(rows[: 1 + (n > 0)], ROW).coalesce(1), n, run="r")
+            per_batch.append(sum(read))
+        assert len({tuple(per_batch[k : k + 8]) for k in range(17, 41, 8)}) == 1, per_batch
+        rows = lambda *views: [sorted(map(tuple, v.collect())) for v in views]
+        views = lambda: rows(tables.final_rows(), tables.minute_view(), tables.latest_view())
+        before, log = views(), {n: tables._log(n) for n in (FINAL, MINUTE_PARTS, LATEST)}
+        assert before == rows(final_rows_from(_ms_bounds(log[FINAL])), R.finish_minute(log[MINUTE_PARTS]), R.latest_merge(log[LATEST], "batch_id"))
+        assert len(before[0]) == 50 and sum(r[1] for r in before[0]) == 49 * 8 + 4 and tables.emission_log().count() == 99
+        tables.compact(7)
+        assert views() == before
+        tables.apply_batch(spark.createDataFrame([("b", 8, 2, 0.25, 0, 10_000)], ROW), 0, run="next")  # a new run comes after all versions
+        assert [r for r in views()[0] if r[0] == "a"] == before[0] and len(views()[0]) == 51
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 class State:
     def __init__(self, value, watermark):
         self.value, self.watermark, self.hasTimedOut = value, watermark, False
