@@ -15,9 +15,10 @@ micro-batch that changes it, and the K2 tables keep the last version;
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickrate.operators.parse import dead_letters, parse_payloads, valid_events
@@ -50,11 +51,13 @@ def watermarked_events(raw: DataFrame, settings: WindowSettings = WindowSettings
 
 
 def ctr_stream(impressions_raw: DataFrame, clicks_raw: DataFrame,
-               settings: WindowSettings = WindowSettings()) -> DataFrame:
-    """U1 of both watermarked sources (min watermark), windowed counts, CTR."""
+               settings: WindowSettings = WindowSettings(), agg_exprs: Sequence[Column] | None = None,
+               result_fn: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """U1 of both watermarked sources (min watermark), windowed counts, CTR.  The last two
+    are the extension points (aggregate, window function), as in ``compute_ctr``."""
     events = union_events(watermarked_events(impressions_raw, settings),
                           watermarked_events(clicks_raw, settings))
-    return ctr_results(window_counts(events, settings.window))
+    return (result_fn or ctr_results)(window_counts(events, settings.window, agg_exprs))
 
 
 def dlq_stream(*raws: DataFrame) -> DataFrame:
@@ -68,15 +71,26 @@ def dlq_stream(*raws: DataFrame) -> DataFrame:
 
 def start_ctr_query(results: DataFrame, tables: IncrementalTables, checkpoint: str,
                     output_mode: str = "update", trigger: dict | None = None,
-                    query_name: str | None = None):
+                    query_name: str | None = None, also: Callable[[DataFrame], None] | None = None):
     """K1/K2/K4/K5 through ``foreachBatch``; the query checkpoint holds the
-    source offsets, watermark and window state (W7, W8)."""
+    source offsets, watermark and window state (W7, W8).  ``also`` gets every
+    batch's rows too, computed once for both."""
     setting = "spark.sql.streaming.statefulOperator.allowMultiple"
     if results.sparkSession.conf.get(setting, "true") != "false":
         raise ValueError(f"{setting} must be false: else the lateness bound is one batch late")
-    writer = (results.writeStream.outputMode(output_mode)
-              .option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, batch_id: tables.apply_batch(df, batch_id)))
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        if also is None:
+            tables.apply_batch(df, batch_id)
+            return
+        df = df.persist()
+        try:
+            tables.apply_batch(df, batch_id)
+            also(df)
+        finally:
+            df.unpersist()
+
+    writer = results.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(apply)
     if query_name:
         writer = writer.queryName(query_name)
     if trigger:
