@@ -30,7 +30,8 @@ written last names the folder of each month.  Versions below the running batch
 are committed and never replayed, so nothing that is merged changes later.
 Batches and views read the bases and the segments since, so what they list does
 not grow with the age of the job.  Base folders that two generations have
-replaced are deleted; the log itself stays.
+replaced are deleted; the log itself stays.  One query at a time may write
+a set of tables.
 """
 
 from __future__ import annotations
