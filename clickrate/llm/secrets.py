@@ -4,8 +4,12 @@ Base spans, leftmost and non-overlapping per kind: assignments to names like pas
 token with a value of 8 or more characters, access keys (AKIA...) of 16 or more, runs of 32
 or more lower-case hex digits.
 
-Candidates for the battery are runs of 20 or more characters of ``[A-Za-z0-9+/_=-]`` with a
-digit and a letter that no base span touches.  The smallest fitting alphabet (hex, base 32,
+Candidates for the battery are runs of 20 or more characters of ``[A-Za-z0-9+/_-]`` with a
+digit and a letter that no base span touches.  An ``=`` ends a run and belongs to it only as
+padding, where no further character of a run follows; so name and value of ``NAME=value`` are
+tested each on its own.  A run that holds both ``_`` or ``-`` and ``+`` or ``/`` fits no
+alphabet: its parts between the ones and its parts between the others are the candidates, and
+found parts that overlap are reported as one.  The smallest fitting alphabet (hex, base 32,
 36, 62, 64) is inferred, and the symbols are tested for what a random string must show:
 uniform use of the alphabet (chi-squared), no trend of runs about the alphabet's middle
 (Wald-Wolfowitz), no correlation of neighbours (lag 1).  A candidate that fails one of them
@@ -37,7 +41,8 @@ _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
-_LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+_LONG = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:=+(?![A-Za-z0-9+/_=-]))?")
+_PARTS = (re.compile(r"[A-Za-z0-9_-]+=*"), re.compile(r"[A-Za-z0-9+/]+=*"))
 LEAST, PASS, FDR = 20, 0.003, 0.01
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Name, symbols, and the chance that two symbols of a word or identifier in them are equal.
@@ -97,6 +102,25 @@ def discoveries(tokens: list[str]) -> list[bool]:
     return [bool(r) and v <= cut for v, r in zip(p, tested)]
 
 
+def candidates(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The run itself, or its parts where it holds symbols that no alphabet has together."""
+    run = text[a:b]
+    if not (("_" in run or "-" in run) and ("+" in run or "/" in run)):
+        return [(a, b)]
+    return sorted({(a + m.start(), a + m.end()) for part in _PARTS for m in part.finditer(run) if m.end() - m.start() >= LEAST})
+
+
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans by start, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def spans_of(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every secret, by start and then kind as listed."""
     text = text or ""
@@ -106,8 +130,9 @@ def spans_of(text: str | None) -> list[tuple[int, int, str]]:
     long = [m.span() for m in _LONG.finditer(text)]
     if long:
         found += [(*m.span(), "access") for m in _ACCESS.finditer(text)] + [(*m.span(), "hex") for m in _HEX.finditer(text)]
-        free = [(a, b) for a, b in long if b - a >= LEAST and not any(x < b and a < y for x, y, _ in found)]
-        found += [(a, b, "random") for (a, b), yes in zip(free, discoveries([text[a:b] for a, b in free])) if yes]
+        runs = [candidates(text, a, b) for a, b in long if b - a >= LEAST and not any(x < b and a < y for x, y, _ in found)]
+        random = iter(discoveries([text[a:b] for run in runs for a, b in run]))
+        found += [(a, b, "random") for run in runs for a, b in joined([s for s in run if next(random)])]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

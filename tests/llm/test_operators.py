@@ -118,6 +118,22 @@ def test_secrets_against_brute_force(spark, docs):
     assert len(out) == len(ROWS)
 
 
+def test_secrets_beside_equals_signs_and_mixed_symbols():
+    rng = np.random.default_rng(5)
+    plain = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "export AWS_SECRET_ACCESS_KEY={}==\n", "access_key={};", "https://h.example/some_path?sig={}&v=2", "key={} x", "a=b={}", "see /hooks_a/{}", "https://h.example/T0_a/b-c/{}/end"]
+    for form in forms:
+        found = 0
+        for _ in range(40):
+            value = "".join(rng.choice(plain + list("+/") * ("/{}" not in form), 48))
+            text = form.format(value)
+            a = text.index(value)
+            found += any(k == "random" and a - 2 <= x <= a and a + 48 <= y <= a + 52 for x, y, k in secrets.spans_of(text))
+        assert found >= 30, (form, found)
+    for text in ("some_quite_long_setting_name_2=another_quite_long_setting_value_3", "/usr/local_lib/python3/site-packages/some_module_name_v2/test_data"):
+        assert not secrets.spans_of(text)
+
+
 def test_token_ids_and_counts_equal_the_library(spark, docs, tmp_path):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
