@@ -134,6 +134,19 @@ def test_secrets_beside_equals_signs_and_mixed_symbols():
         assert not secrets.spans_of(text)
 
 
+def test_short_secrets_and_secrets_among_identifiers():
+    rng = np.random.default_rng(6)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    words = "request handler python version config module parser token_stream index buffer default encoding session client2 utf8 x86 build test".split()
+    names = [f"{'_'.join(rng.choice(words, 4))}_{i}" for i in range(500)]
+    assert not any(secrets.discoveries(names))
+    for symbols, least in ((low + up + digits, 0.85), (low + digits, 0.9), (up + "234567", 0.9), (digits + "abcdef", 0.9)):
+        for n in (20, 24, 28):
+            tokens = ["".join(rng.choice(list(symbols), n)) for _ in range(100)]
+            assert sum(secrets.discoveries([t])[0] for t in tokens) >= 100 * least, (symbols, n)
+            assert sum(secrets.discoveries([t, *names])[0] for t in tokens[:20]) >= 13, (symbols, n)
+
+
 def test_token_ids_and_counts_equal_the_library(spark, docs, tmp_path):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
