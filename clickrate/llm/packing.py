@@ -12,7 +12,9 @@ leaves the least room (best fit).  After an epoch each island sends its elite to
 island of its shard.  An island stops early when its bins reach the lower bound, the
 shard's tokens over the length, rounded up.
 
-A special token's string in a text is ordinary text.
+With ``added`` (``op9`` and the pipeline) an added token's string in a text, ``<|endoftext|>``,
+is that token's one id, as the ``tokenizers`` library gives it by default; without, it is
+ordinary text.
 
 Defined results: null or empty text: one piece with the separator alone.  Repeated rows and
 null ids are packed like any others.  An empty table gives no rows.  Other columns are
@@ -36,16 +38,17 @@ _SEPARATOR = b"\0\0\0\0"
 _ELITE = "shard int, island int, bins long, place binary"
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
 
     def make():
         words = word_ids(vocabulary)
+        encode = words.ids_added if added else words.ids
 
         def fn(cols):
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
             for doc_id, text in zip(cols["doc_id"], cols["text"]):
-                ids = words.ids(text) + _SEPARATOR
+                ids = encode(text) + _SEPARATOR
                 n = len(ids) // 4
                 cuts = [0, *range((n - 1) % length + 1, n + 1, length)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -162,9 +165,9 @@ def _settler(length: int):
     return settle
 
 
-def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, shard: int = SHARD) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, shard: int = SHARD, added: bool = False) -> DataFrame:
     """The pieces with sequence_id and offset."""
-    cut = stored(spark, pieces(docs, length, vocabulary).withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    cut = stored(spark, pieces(docs, length, vocabulary, added).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-cut.count() // shard))
     cut = cut.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
     # a piece of the whole length is a sequence already: it takes no part in the search
@@ -183,4 +186,4 @@ def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, vocabulary:
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` in sequences of 2048 tokens."""
-    return pack(spark, table(spark, sf_dir, "documents"))
+    return pack(spark, table(spark, sf_dir, "documents"), added=True)

@@ -51,7 +51,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of 2048 tokens."""
-    return packing.pack(spark, docs)
+    return packing.pack(spark, docs, added=True)
 
 
 STAGES = [

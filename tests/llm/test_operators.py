@@ -228,6 +228,21 @@ def test_packing_round_trip(spark, docs):
     assert np.bincount(child, n).max() <= 64 and sorted(set(child.tolist())) == list(range(child.max() + 1))
 
 
+def test_packing_gives_added_tokens_their_id(spark, fixture_dir, docs):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert np.frombuffer(word_ids().ids_added("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    rng = np.random.default_rng(8)
+    marks = ["<|endoftext|>", "<|endoftext|>", "<|endoftext|", "|>", "a", " ", " ", "\n", "\u00e9", "12", "<|"]
+    for n in rng.integers(0, 10, 2000):
+        x = "".join(marks[k] for k in rng.integers(0, len(marks), n))
+        assert np.frombuffer(word_ids().ids_added(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
+    ids = {r["doc_id"]: np.array(t.encode(r["text"] or "", add_special_tokens=False).ids + [0], "<u4") for r in table(spark, fixture_dir, "documents").collect()}
+    for rows in (packing.op9_best_fit_packing(spark, fixture_dir).collect(), corpus_pipeline.best_fit_packing(spark, table(spark, fixture_dir, "documents"), fixture_dir).collect()):
+        assert sum(r["length"] for r in rows) == sum(map(len, ids.values())) and 50256 in ids[9]
+        for r in rows:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes())
+
+
 def test_licences(spark, docs):
     texts = ["Intro line here.\nReleased under the MIT License.\nMore words follow here.", "Unless required by applicable law or agreed to in writing,\nsoftware distributed under the License is distributed on an \"AS IS\" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND\n\nNext.",
              "He renewed his driving license at the office.", "Licensed under CC BY-NC 4.0.", None, ""]
