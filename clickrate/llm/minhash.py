@@ -233,7 +233,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_hash (xxhash64 of the text), n_shingles,
-    component_id (smallest doc_id of its group), n_links (classes of other texts that were
+    component_id (smallest doc_id of its group), chosen (the row is its group's one document:
+    the smallest doc_id, then text_hash, null ids last; only rows that repeat both share it,
+    and rows without words have no group and are not chosen), n_links (classes of other texts that were
     confirmed as linked to its own; pairs that other links had joined are not counted)."""
     docs = docs.select("doc_id", "text")
     signed = stored(spark, signatures(docs, shingle, threshold), "signatures")
@@ -291,12 +293,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 5, thre
         roots = stored(spark, components(spark, links), "roots")
 
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
-    named = (classes.select("node", "set_key", F.col("rep.doc_id").alias("rep_id")).join(roots, "node", "left").join(degree, "node", "left")
-             .select("set_key", "rep_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    lowest = named.groupBy("root").agg(F.min("rep_id").alias("component"))
-    found = named.join(lowest, "root").select("set_key", "component", "n_links")
+    named = (classes.select("node", "set_key", "rep").join(roots, "node", "left").join(degree, "node", "left")
+             .select("set_key", "rep", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    lowest = named.groupBy("root").agg(F.min(F.struct(F.col("rep.doc_id").isNull().alias("unnamed"), F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_hash").alias("text_hash"))).alias("one"))
+    found = named.join(lowest, "root").select("set_key", "one", "n_links")
+    chosen = F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("text_hash") == F.col("one.text_hash"))
     return (signed.select("doc_id", "text_hash", "n_shingles", "set_key").join(found, "set_key", "left")
-            .select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+            .select("doc_id", "text_hash", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("one.doc_id")).alias("component_id"),
+                    (F.col("set_key").isNotNull() & F.coalesce(chosen, F.lit(False))).alias("chosen"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 

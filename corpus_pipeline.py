@@ -25,13 +25,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, 0.8): the one with the
-    smallest doc_id.  Rows that repeat both its doc_id and its text go; documents without
-    words are no duplicates and stay."""
+    """One row of each group of near-duplicates (five words, 0.8): the one with the smallest
+    doc_id, a null one only if all are null, then the smallest hash of its text; of rows that
+    repeat both, the first by source, lang and n_chars.  Documents without words are no
+    duplicates and stay."""
     docs = docs.select(COLUMNS)
-    found = minhash.near_duplicates(spark, docs)
-    kept = found.filter((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), (F.col("n_shingles") > 0).alias("worded")).distinct()
+    found = minhash.near_duplicates(spark, docs).withColumn("worded", F.col("n_shingles") > 0)
+    kept = found.filter(~F.col("worded") | F.col("chosen")).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "worded").distinct()
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     left = hashed.join(kept, hashed["doc_id"].eqNullSafe(kept["kept_id"]) & (hashed["text_hash"] == kept["kept_hash"]))
     copy = F.row_number().over(W.partitionBy("doc_id", "text_hash").orderBy("source", "lang", "n_chars"))

@@ -88,6 +88,17 @@ def test_near_duplicates_of_crowds(spark):
     assert ids((r["doc_id"], r["component_id"]) for r in got) == ids((r[0], c) for r, c in zip(rows, want))
 
 
+def test_one_document_of_each_group_with_null_and_repeated_ids(spark):
+    text = lambda group, end: " ".join([f"g{group}w{i}" for i in range(60)] + [end])
+    rows = [(None, text(1, "a")), (None, text(1, "b")), (None, text(1, "b")), (5, text(2, "a")), (5, text(2, "b")), (6, text(2, "c")), (None, text(3, "a")), (9, text(3, "b")),
+            (5, text(4, "a")), (5, text(4, "a")), (None, text(5, "a")), (3, ""), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    worded = sorted((t.split("w")[0], i) for i, t in got if t)
+    assert worded == [("g1", None), ("g2", 5), ("g3", 9), ("g4", 5), ("g5", None)]
+    assert sorted(((i, t) for i, t in got if not t), key=str) == [(3, ""), (3, ""), (None, None)]
+
+
 def test_signature_estimates_similarity():
     signer, words = minhash.Signer(*minhash.bands_for(0.8)), minhash.WordHash()
     a = [f"w{i}" for i in range(500)]
