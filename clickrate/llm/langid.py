@@ -1,7 +1,7 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
 The bytes of a text, ASCII letters in lower case and all other ASCII characters as spaces,
-give its 2-, 3- and 4-byte subwords, each hashed to one of BUCKETS embeddings.  The mean of
+give its 2-, 3- and 4-byte subwords, none reaching beyond the text's end, each hashed to one of BUCKETS embeddings.  The mean of
 a text's embeddings goes through a linear softmax.  Both are trained on the driver by
 stochastic gradient descent in numpy, on segments of at most SAMPLE_DOCS labelled documents
 of at most SAMPLE_CHARS characters (the documented bound; chosen by a hash of doc_id among
@@ -66,20 +66,26 @@ class Model:
     threshold: float = 0.0
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        """Blocks of many texts at once; a text longer than a block is summed over several."""
+        """Blocks of many texts at once; a text longer than a block is summed over several,
+        each with the bytes that subwords begun in it take from the next.  A text's logits
+        do not depend on the others."""
         sums, counts = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         parts, starts, owners, size = [], [], [], 0
 
         def flush():
-            at = np.array(starts)
-            for rows in subwords(b"".join(parts)):
-                np.add.at(sums, owners, np.add.reduceat(self.table[rows], at, axis=0))
-            np.add.at(counts, owners, len(ORDERS) * np.diff(np.r_[at, size]))
+            at, long = np.array(starts), np.array([len(p) for p in parts])
+            place = np.arange(size) - np.repeat(at, long)
+            for n, rows in zip(ORDERS, subwords(b"".join(parts))):
+                whole = np.clip(long - n + 1, 0, BLOCK)  # places whose subword ends in the text
+                values = self.table[rows]
+                values[place >= np.repeat(whole, long)] = 0
+                np.add.at(sums, owners, np.add.reduceat(values, at, axis=0))
+                np.add.at(counts, owners, whole)
 
         for i, text in enumerate(texts):
             data = _folded(text)
             for k in range(0, len(data), BLOCK):
-                parts.append(data[k : k + BLOCK])
+                parts.append(data[k : k + BLOCK + max(ORDERS) - 1])
                 starts.append(size)
                 owners.append(i)
                 size += len(parts[-1])
@@ -113,7 +119,8 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
     for i in order[len(rows) // 5 :]:
         data = _folded(rows[i][0])
         for k in rng.integers(0, max(1, len(data) - SEGMENT), SEGMENTS):
-            segments.append(subwords(data[k : k + SEGMENT]).ravel().astype(np.int64))
+            part = data[k : k + SEGMENT]
+            segments.append(np.concatenate([x[: max(0, len(part) - n + 1)] for n, x in zip(ORDERS, subwords(part))]).astype(np.int64))
             y.append(number[rows[i][1]])
     y = np.array(y)
     embed = rng.normal(0, 0.1, (BUCKETS, WIDTH)).astype(np.float32)

@@ -201,6 +201,19 @@ def test_nested_url_rules(spark, monkeypatch, salt_rows):
     assert len(got) == len(pages)
 
 
+def test_language_scores_do_not_depend_on_neighbours(monkeypatch):
+    words = {"a": "the of and to in", "b": "der die und das ist"}
+    rng = np.random.default_rng(11)
+    model = langid.train([(" ".join(rng.choice(words[k].split(), 30)), k) for k in "ab" * 40])
+    texts = ["the", "und", "a", "der die", "x" * 50, "the und " * 40, "\u00e9"]
+    alone = np.concatenate([model.logits([t]) for t in texts])
+    assert (model.logits(texts) == alone).all() and (model.logits(texts[::-1])[::-1] == alone).all()
+    rows = [[int(x[i]) for x, n in zip(langid.subwords(d), (2, 3, 4)) for i in range(len(d) - n + 1)] for d in map(langid._folded, texts)]
+    assert np.allclose(alone, [model.table[r].mean(axis=0) + model.bias for r in rows], atol=1e-4)
+    monkeypatch.setattr(langid, "BLOCK", 7)  # a text over several blocks
+    assert np.allclose(model.logits(texts), alone, atol=1e-4)
+
+
 def test_language_accuracy(spark):
     truth = {r["doc_id"]: r["lang"] for r in table(spark, "/root/testdata/sf0.01", "documents").collect()}
     got = [r for r in langid.op7_language_id(spark, "/root/testdata/sf0.01").collect()]
