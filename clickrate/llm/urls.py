@@ -2,11 +2,12 @@
 
 A rule is a host and a path prefix; it fits its host and all subdomains.  The canonical key
 of a rule is its host's labels in reverse and its path: every url it fits has, for the part
-of its own host that equals the rule's, a key that starts with it.  So a rule is the
-interval from its key up to the key followed by the last code point, and such intervals nest.
+of its own host that equals the rule's, a key that starts with it.  Keys are compared as their
+UTF-8 bytes, none of which is FF: so a rule is the interval from its key up to the key followed
+by that byte, whatever characters a path goes on with, and such intervals nest.
 
-Rule starts, rule ends and url keys (one for each suffix of the url's host) are sorted
-together within (host suffix, salt).  A start makes its rule the innermost active one, an
+Rule starts, rule ends and url keys (one for each suffix of the url's host that is some rule's
+host, and one for the whole host) are sorted together within (host suffix, salt).  A start makes its rule the innermost active one, an
 end gives that place back to the rule around it, and each url takes the innermost active
 rule it meets: the running last value is the top of the stack of active nested rules.
 The rule around a rule is found by an equality join on its own prefixes, so the state kept
@@ -30,12 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from clickrate.llm.common import table
+from clickrate.llm.common import stored, table
 
 SALTS, SALT_ROWS = 64, 1_000_000
 #: Host, path, verdict of the production rules.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-_LAST = "\U0010FFFF"
+_BEHIND = b"\xff"
 
 
 def _lower(c):
@@ -51,13 +52,13 @@ def parts(pages: DataFrame) -> DataFrame:
 
 
 def _suffixes(host):
-    """Every suffix of a host that begins at a label: a.b.c, b.c, c."""
+    """Every suffix of a host that begins at a label, the whole one first: a.b.c, b.c, c."""
     labels = F.split(host, r"\.")
     return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
 
 
 def _key(host, path):
-    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("\x01"), path)
+    return F.encode(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("\x01"), path), "UTF-8")
 
 
 def rule_events(rules: DataFrame) -> DataFrame:
@@ -70,14 +71,17 @@ def rule_events(rules: DataFrame) -> DataFrame:
     both = r.join(parent, "key", "left")
     none = F.struct(F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
     return (both.select(F.col("host").alias("suffix"), F.col("key").alias("at"), F.lit(0).alias("turn"), F.col("me").alias("top"))
-            .union(both.select("host", F.concat("key", F.lit(_LAST)), F.lit(0), F.coalesce("around", none))))
+            .union(both.select("host", F.concat("key", F.lit(_BEHIND)), F.lit(0), F.coalesce("around", none))))
 
 
 def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
     salts = max(SALTS, -(-pages.count() // SALT_ROWS))
+    rules = stored(pages.sparkSession, rules.select("host", "path", "verdict"), "url-rules")  # of known size: a small one is sent to the tasks, a large one shuffled
+    ruled = rules.select(F.col("host").alias("suffix")).distinct().withColumn("ruled", F.lit(True))
     rows = parts(pages).withColumn("row", F.monotonically_increasing_id())
-    url = (rows.withColumn("suffix", F.explode(_suffixes(F.col("host"))))
+    url = (rows.select("*", F.posexplode(_suffixes(F.col("host"))).alias("i", "suffix"))
+           .join(ruled, "suffix", "left").filter("i = 0 or ruled")
            .select("row", "page_id", "host", "path", "suffix", _key(F.col("suffix"), F.col("path")).alias("at"), F.lit(1).alias("turn"),
                    F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"), F.lit(None).cast("struct<rule:string,verdict:string>").alias("top")))
     rule = rule_events(rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

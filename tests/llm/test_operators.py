@@ -39,7 +39,9 @@ def fixture_dir(spark, docs, tmp_path_factory):
     keep = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     keep.coalesce(1).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, "http://A.b.EXAMPLE.net/en/x?y"), (2, None), (3, "no scheme"), (4, "x://org/fr/"), (5, "x://org/fr"), (6, "x://notexample.com/de/"),
-                           (7, "x://example.com/de/#z"), (8, "x://net"), (9, "x://?q"), (9, "x://m.example.net/e"), (None, "x://a.org/fr/1")], "page_id long, url string").coalesce(1).write.parquet(f"{d}/pages.parquet")
+                           (7, "x://example.com/de/#z"), (8, "x://net"), (9, "x://?q"), (9, "x://m.example.net/e"), (None, "x://a.org/fr/1"),
+                           *[(20 + i, f"x://{h}{c}{t}") for i, (h, c, t) in enumerate((h, c, t) for h in ("net/", "org/fr/", "a.example.net/en/", "example.com/de") for c in ("\U0010ffff", "\uffff", "\x01", "\x7f") for t in ("", "z", "/"))],
+                           (90, "x://a\x01.net/"), (91, "x://net\x01/"), (92, "x://\U0010ffff.org/fr/\U0010ffff")], "page_id long, url string").coalesce(1).write.parquet(f"{d}/pages.parquet")
     spark.createDataFrame([(1, ROWS[0][1]), (10, "A B"), (2, None), (3, "..."), (4, "w0 w2916 w829")], "item_id long, text string").coalesce(1).write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{d}/labels.parquet")
     return d
@@ -314,3 +316,8 @@ def test_pipeline(spark):
     assert not any(secrets.spans_of(r["text"]) for r in kept.collect())
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in kept.collect()} <= docs.keys()
+
+
+def test_url_filters_run_without_python(spark):
+    plan = urls.op6_url_filters(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|InArrow|PickleUDF", plan)
