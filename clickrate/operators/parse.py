@@ -74,11 +74,11 @@ def _probed_type(field: str) -> Column:
     return F.expr(f"schema_of_variant(_probe.`{field}`)")
 
 
-def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_payloads(raw: DataFrame, value_col: str = "value", every_event: bool = False) -> DataFrame:
     """Decode ``value_col`` (binary or string) of every row.
 
     Adds: ``event`` (struct of the six fields, timestamp as epoch ms; null on
-    failure), ``raw`` (payload bytes), ``error_message``, ``stack_trace`` and
+    failure; with ``every_event`` only where the payload does not decode), ``raw`` (payload bytes), ``error_message``, ``stack_trace`` and
     ``is_success``.  Other input columns (e.g. ``source``) pass through.
 
     The work is split into flat projections (decode → field texts → checks
@@ -136,7 +136,7 @@ def parse_payloads(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_f_session_id").alias("session_id"),
     )
     envelope = F.struct(
-        F.when(ok, event).alias("event"),
+        F.when(~F.col("error_message").eqNullSafe(MALFORMED_JSON) if every_event else ok, event).alias("event"),
         F.col("raw"),
         F.col("error_message"),
         F.lit(None).cast("string").alias("stack_trace"),

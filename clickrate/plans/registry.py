@@ -18,7 +18,7 @@ from clickrate.operators import rollups as R
 from clickrate.operators.parse import parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import count_exprs, merge_counts, window_counts, with_event_time, with_ratio
-from clickrate.plans import stored
+from clickrate.plans import monitoring, stored
 from clickrate.plans.batch import batch_ctr, events_to_parsed
 from clickrate.session import configure, shared_dir
 from clickrate.sinks.tables import to_raw_rows, write_raw_table
@@ -302,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_restart_final": stream_restart_final,
     "stream_stored_last_day": stream_stored_last_day,
     **stored.QUERIES,
+    **monitoring.QUERIES,
 }
 
 
@@ -516,3 +517,11 @@ ORACLE_SQL |= {
     "stream_stored_last_day": f"""SELECT {_CTR_COLUMNS} FROM ({_RESTART_SQL}) f
 WHERE window_end >= (SELECT max(ts_ms) // {_6H_MS} * {_6H_MS} + {_6H_MS} FROM ({_STEPS_SQL} SELECT ts_ms FROM p) v) - 86400000""",
 }
+
+
+def _after_store(body: str) -> str:
+    """A query that may go on with further tables of its own."""
+    return f"WITH ctr AS ({_ctr_sql(stored.WINDOW_MS, MOD5_PRODUCT)}){body if body.startswith(',') else chr(10) + body}"
+
+
+ORACLE_SQL |= monitoring.oracles(_after_store)

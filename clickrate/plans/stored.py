@@ -3,12 +3,13 @@
 The CTR rows of all events, in 6 h windows over five products so that the
 windows hold real counts, are written once per application and input as
 ``ctr_results_raw``; the minute parts and the latest rows are then derived
-from that table.  The queries read only these tables.
+from that table, as are the distinct-product sketches; the latency states come from the records'
+arrival times.  The queries read only these tables.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,12 @@ from pyspark.sql import functions as F
 from clickrate.functions.timekeys import month_key
 from clickrate.operators import queries as Q
 from clickrate.operators import rollups as R
+from clickrate.operators.monitoring import activity_parts, latency_parts
+from clickrate.operators.parse import parse_payloads
 from clickrate.plans.batch import batch_ctr
 from clickrate.session import shared_dir
 from clickrate.sinks.tables import to_raw_rows, write_raw_table
+from clickrate.sources.events_adapter import arrival_records, load_events
 from clickrate.sources.result_table import newest_end_ms, read_raw_table
 
 WINDOW_MS = 21_600_000
@@ -32,6 +36,8 @@ class Store:
     raw: str
     minute: str
     latest: str
+    latency: str
+    activity: str
     newest: int  # the latest window_end, epoch ms
 
 
@@ -39,15 +45,18 @@ _STORES: dict[tuple[str, str], Store] = {}
 
 
 def build_store(spark: SparkSession, sf: str) -> Store:
-    """Write the three tables under a new folder."""
+    """Write the tables under a new folder."""
     root = shared_dir(spark, "store")
-    store = Store(f"{root}/ctr_results_raw", f"{root}/ctr_ml_view", f"{root}/ctr_latest_view", 0)
+    store = Store(f"{root}/ctr_results_raw", f"{root}/ctr_ml_view", f"{root}/ctr_latest_view", f"{root}/latency_view", f"{root}/activity_view", 0)
     write_raw_table(to_raw_rows(batch_ctr(spark, sf, f"{WINDOW_MS // 1000} seconds", PRODUCT_BUCKETS)), store.raw)
     rows = read_raw_table(spark, store.raw)
     (R.minute_parts(rows).withColumn("window_month", month_key(F.col("window_minute")))
      .write.partitionBy("window_month").parquet(store.minute))
     R.latest_per_product(rows, ("inserted_at",)).sortWithinPartitions("product_id").write.parquet(store.latest)
-    return Store(store.raw, store.minute, store.latest, newest_end_ms(spark, store.raw) or 0)
+    arrived = parse_payloads(arrival_records(load_events(spark, sf))).filter("is_success")
+    for parts, path in ((latency_parts(arrived, F.col("arrived_at"), F.col("event.timestamp")), store.latency), (activity_parts(rows), store.activity)):
+        parts.withColumn("window_month", month_key(F.col("window_minute"))).write.partitionBy("window_month").parquet(path)
+    return replace(store, newest=newest_end_ms(spark, store.raw) or 0)
 
 
 def store(spark: SparkSession, sf: str) -> Store:

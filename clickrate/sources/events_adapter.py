@@ -12,7 +12,9 @@ rows to the ``Impression`` source.  The mapping:
 * ``user_id`` and ``event_id`` as text;
 * ``error`` rows are published as broken JSON (the object is cut before its
   closing brace), so the decode-error path runs as well; ``purchase`` and
-  ``signup`` rows decode but fail validation.
+  ``signup`` rows decode but fail validation;
+* the record's arrival time, where a job asks for it, is ``ts`` plus the
+  size of ``value`` in seconds.
 
 Everything is a column expression: the adapter scales with the table.
 """
@@ -44,13 +46,14 @@ def product_of(props: Column, product_buckets: int | None = None) -> Column:
     return F.concat(F.lit("product"), k)
 
 
-def payload_json(events: DataFrame, product_buckets: int | None = None) -> DataFrame:
-    """Adds ``source``, ``ts_ms``, ``product_id`` and the payload ``json`` text."""
+def payload_json(events: DataFrame, product_buckets: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``source``, ``ts_ms``, ``product_id`` and the payload ``json`` text; columns ``keep`` stay."""
     ms = event_ms(F.col("ts"))
     base = events.select(
         "event_id", "event_type", "user_id", "ts",
         product_of(F.col("props"), product_buckets).alias("product_id"),
         ms.alias("ts_ms"),
+        *keep,
     )
     fields = [
         F.col("event_id").cast("string").alias("event_id"),
@@ -73,6 +76,7 @@ def payload_json(events: DataFrame, product_buckets: int | None = None) -> DataF
                  .otherwise(F.lit(IMPRESSION_SOURCE)).alias("source"),
                 "event_id", "event_type", "product_id", "user_id", "ts_ms",
                 text.alias("json"),
+                *keep,
             ))
 
 
@@ -92,6 +96,30 @@ def raw_streams(events: DataFrame, product_buckets: int | None = None) -> tuple[
     return raw_records(imps, product_buckets), raw_records(clks, product_buckets)
 
 
+def arrival_records(events: DataFrame, product_buckets: int | None = None) -> DataFrame:
+    """(source, value binary, arrived_at) rows, like records with the time a topic got them."""
+    delay = F.floor(F.abs("value") * 1000 + 0.5).cast("long")
+    arrived = events.select("event_id", F.timestamp_millis(event_ms(F.col("ts")) + F.coalesce(delay, F.lit(0))).alias("arrived_at"), "event_type", "user_id", "ts", "props")
+    return payload_json(arrived, product_buckets, keep=("arrived_at",)).select("source", F.encode(F.col("json"), "UTF-8").alias("value"), "arrived_at")
+
+
+def gappy_records(events: DataFrame) -> DataFrame:
+    """(event_id, source, value binary) rows in which ``event_id % 12`` leaves out or blanks
+    fields: no user (0), blank user (1), null product (2), blank product (3), no type (4), blank
+    type (5), no user, no product and a type in the wrong case (6), null timestamp (7), an object
+    that is cut (8); the rest are whole."""
+    shape = F.pmod("event_id", F.lit(12))
+    k = F.get_json_object("props", "$.k")
+    json = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(shape.isin(4), F.lit(None)).when(shape == 5, " ").when(shape == 6, "Click").otherwise(F.col("event_type")).alias("event_type"),
+        F.when(shape.isin(2, 6), F.lit(None)).when(shape == 3, "\u2003").otherwise(F.concat(F.lit("product"), k)).alias("product_id"),
+        F.when(shape.isin(0, 6), F.lit(None)).when(shape == 1, "").otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.when(shape != 7, event_ms(F.col("ts"))).alias("timestamp")))
+    source = F.when(F.col("event_type") == "click", CLICK_SOURCE).otherwise(IMPRESSION_SOURCE)
+    return events.select("event_id", source.alias("source"), F.encode(F.when(shape == 8, F.substring(json, 1, 20)).otherwise(json), "UTF-8").alias("value"))
+
+
 def shaped_records(events: DataFrame) -> DataFrame:
     """(event_id, source, value binary) rows in which ``event_id % 10`` picks a rarer payload
     shape: number tokens as product id (0 with trailing zero, 1 with 41 digits), a byte that is
