@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickrate.operators import queries as Q
 from clickrate.operators import rollups as R
+from clickrate.operators.monitoring import invalid_rate_alerts
 from clickrate.operators.parse import parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import count_exprs, merge_counts, window_counts, with_event_time, with_ratio
@@ -270,6 +272,46 @@ def stream_latest_per_product(spark, sf):
     return _latest_out(_replay(spark, sf).tables.latest_view())
 
 
+FIRE_LATENESS_S = 9 * 86_400
+
+
+def stream_fire_log(spark, sf):
+    """The emission sequence of 6 h windows, every seventh event one step late.  ``nr`` is an
+    emission's place among its window's."""
+    from clickrate.streaming.job import WindowSettings
+    from clickrate.streaming.replay import replay_fire_log
+
+    key = (spark.sparkContext.applicationId, sf, "fire")
+    if key not in _REPLAYS:
+        settings = WindowSettings(window_s=WINDOW_6H, allowed_lateness_s=FIRE_LATENESS_S)
+        _REPLAYS[key] = replay_fire_log(spark, sf, REPLAY_STEPS, settings, product_buckets=5, held_every=HELD_EVERY)
+    log = spark.read.parquet(_REPLAYS[key])
+    nr = F.row_number().over(W.partitionBy("product_id", "window_start").orderBy((F.col("fire") == "late"), F.col("impressions") + F.col("clicks")))
+    return log.select("product_id", "window_start", "window_end", nr.alias("nr"), "fire", "impressions", "clicks", "ctr", "event_time_ms")
+
+
+def stream_dropped_rows(spark, sf):
+    """Valid rows that each step delivered, that its windows took, and that came too late,
+    from the table of micro-batches."""
+    from clickrate.streaming.progress import drops_by_batch
+
+    replay = _replay(spark, sf, "late", WINDOW_6H, with_dlq=False, product_buckets=5, held_every=HELD_EVERY)
+    batches = drops_by_batch(replay.progress.read(), replay.tables.emission_log()).filter("rows_in > 0")
+    step = F.row_number().over(W.orderBy("batch_id")) - 1  # one row a batch
+    return batches.select(step.alias("step"), "rows_in", "counted", "dropped")
+
+
+def stream_invalid_rate_alerts(spark, sf):
+    """V9: the alerts from the table that a stream of the records wrote, delivered in steps."""
+    from clickrate.streaming.replay import replay_status
+
+    key = (spark.sparkContext.applicationId, sf, "status")
+    if key not in _REPLAYS:
+        _REPLAYS[key] = replay_status(spark, sf, REPLAY_STEPS)
+    from clickrate.streaming.health import read_status
+    return invalid_rate_alerts(read_status(spark, _REPLAYS[key]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parsed_valid_events": parsed_valid_events,
     "dlq_events": dlq_events,
@@ -301,6 +343,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_append_final": stream_append_final,
     "stream_restart_final": stream_restart_final,
     "stream_stored_last_day": stream_stored_last_day,
+    "stream_fire_log": stream_fire_log,
+    "stream_dropped_rows": stream_dropped_rows,
+    "stream_invalid_rate_alerts": stream_invalid_rate_alerts,
     **stored.QUERIES,
     **monitoring.QUERIES,
 }
@@ -525,3 +570,35 @@ def _after_store(body: str) -> str:
 
 
 ORACLE_SQL |= monitoring.oracles(_after_store)
+ORACLE_SQL["stream_invalid_rate_alerts"] = ORACLE_SQL["invalid_rate_alerts"]
+
+# Emissions of a window: one with the counts of all rows that came before the slower source
+# passed its end by 5 s, then one for each row that came between that and the end of lateness.
+_FIRE_SQL = f"""{_STEPS_SQL},
+m AS (SELECT step, mark + 10000 AS newest FROM wm),
+r AS (
+  SELECT p.*, window_start + {_6H_MS} AS window_end, coalesce(newest >= window_start + {_6H_MS} + 5000, FALSE) AS late,
+         event_type <> 'click' AS imp
+  FROM p JOIN m USING (step) WHERE newest IS NULL OR newest < window_start + {_6H_MS} + 5000 + {FIRE_LATENESS_S * 1000}
+),
+c AS (
+  SELECT *, count(*) FILTER (imp) OVER o AS impressions, count(*) FILTER (NOT imp) OVER o AS clicks
+  FROM r WINDOW o AS (PARTITION BY product_id, window_start ORDER BY step, ts_ms, event_type ROWS UNBOUNDED PRECEDING)
+),
+e AS (
+  SELECT product_id, window_start, window_end, 'on_time' AS fire, max(impressions) AS impressions, max(clicks) AS clicks, NULL AS event_time_ms
+  FROM c WHERE NOT late GROUP BY ALL HAVING (SELECT max(newest) FROM m) >= window_end + 5000
+  UNION ALL
+  SELECT product_id, window_start, window_end, 'late', impressions, clicks, ts_ms FROM c WHERE late
+)
+SELECT product_id, window_start, window_end, CAST(row_number() OVER (PARTITION BY product_id, window_start ORDER BY fire DESC, impressions + clicks) AS INTEGER) AS nr,
+       fire, CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks,
+       CASE WHEN impressions = 0 THEN 0.0 ELSE clicks::DOUBLE / impressions END AS ctr, event_time_ms
+FROM e"""
+ORACLE_SQL |= {
+    "stream_fire_log": _FIRE_SQL,
+    "stream_dropped_rows": f"""{_STEPS_SQL}
+SELECT CAST(step AS INTEGER) AS step, count(*) AS rows_in, count(*) FILTER (mark IS NULL OR window_start + {_6H_MS} > mark) AS counted,
+       count(*) FILTER (window_start + {_6H_MS} <= mark) AS dropped
+FROM p JOIN wm USING (step) GROUP BY 1""",
+}

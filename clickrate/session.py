@@ -83,3 +83,20 @@ def ensure_dir(spark: SparkSession, path: str) -> str:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
     return path
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file of a few lines through the Hadoop file system, in place of an earlier one.
+    It is written beside its place under a hidden name and then renamed, so that no reader sees half of it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex[:8]}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(hidden, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(hidden, target):
+        raise OSError(f"cannot rename {hidden} to {target}")

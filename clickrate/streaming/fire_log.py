@@ -16,7 +16,8 @@ is a grouped state function keyed by (product_id, window_end):
 
 State is one small row per open window, so it is bounded by the number of
 (product, window) pairs inside the lateness horizon, like the built-in
-window state.  Rows of one key and batch are processed in event-time order.
+window state.  Rows of one key and batch are processed in order of event
+time and type.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def _fire_fn(settings: WindowSettings):
                 state.update((imps, clks, True))
                 state.setTimeoutTimestamp(close_at - 1)
         else:
-            data = pd.concat(list(pdfs), ignore_index=True).sort_values("timestamp", kind="stable")
+            data = pd.concat(list(pdfs), ignore_index=True).sort_values(["timestamp", "event_type"], kind="stable")
             imps, clks, fired = ((int(state.get[0]), int(state.get[1]), bool(state.get[2]))
                                  if state.exists else (0, 0, False))
             # The on-time row comes first: the watermark may pass both points

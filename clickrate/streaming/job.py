@@ -26,6 +26,8 @@ from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import ctr_results, window_counts, with_event_time
 from clickrate.sinks.dlq import start_dlq_stream
 from clickrate.sinks.incremental import IncrementalTables
+from clickrate.sources.events_adapter import CLICK_SOURCE, IMPRESSION_SOURCE
+from clickrate.streaming.idle import with_heartbeats
 
 
 @dataclass(frozen=True)
@@ -44,19 +46,29 @@ class WindowSettings:
         return f"{self.out_of_orderness_s + self.allowed_lateness_s} seconds"
 
 
-def watermarked_events(raw: DataFrame, settings: WindowSettings = WindowSettings()) -> DataFrame:
-    """W1 + W2 for one source: valid events with a bounded-delay watermark."""
+def watermarked_events(raw: DataFrame, settings: WindowSettings = WindowSettings(), observed_as: str | None = None,
+                       heartbeats: DataFrame | None = None) -> DataFrame:
+    """W1 + W2 for one source: valid events with a bounded-delay watermark.  ``observed_as``
+    reports each batch's rows and newest event time under that name in the query's progress.
+    ``heartbeats`` (see ``idle``) only move the watermark."""
     events = with_event_time(valid_events(parse_payloads(raw)))
-    return events.withWatermark("event_time", settings.watermark_delay)
+    if observed_as:
+        events = events.observe(observed_as, F.count(F.lit(1)).alias("rows"), F.max("timestamp").alias("newest_ms"))
+    if heartbeats is None:
+        return events.withWatermark("event_time", settings.watermark_delay)
+    return with_heartbeats(events, heartbeats, settings.watermark_delay)
 
 
 def ctr_stream(impressions_raw: DataFrame, clicks_raw: DataFrame,
                settings: WindowSettings = WindowSettings(), agg_exprs: Sequence[Column] | None = None,
-               result_fn: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """U1 of both watermarked sources (min watermark), windowed counts, CTR.  The last two
-    are the extension points (aggregate, window function), as in ``compute_ctr``."""
-    events = union_events(watermarked_events(impressions_raw, settings),
-                          watermarked_events(clicks_raw, settings))
+               result_fn: Callable[[DataFrame], DataFrame] | None = None,
+               heartbeats: dict[str, DataFrame] | None = None) -> DataFrame:
+    """U1 of both watermarked sources (min watermark), windowed counts, CTR.  ``agg_exprs`` and
+    ``result_fn`` are the extension points (aggregate, window function), as in ``compute_ctr``;
+    ``heartbeats`` has the heartbeat rows of sources that may fall silent."""
+    beats = heartbeats or {}
+    events = union_events(*(watermarked_events(raw, settings, name, beats.get(name))
+                            for name, raw in ((IMPRESSION_SOURCE, impressions_raw), (CLICK_SOURCE, clicks_raw))))
     return (result_fn or ctr_results)(window_counts(events, settings.window, agg_exprs))
 
 
@@ -105,7 +117,8 @@ def start_dlq_query(impressions_raw: DataFrame, clicks_raw: DataFrame, path: str
 
 
 def progress_dropped_rows(query) -> int:
-    """Rows dropped as too late over the micro-batches whose progress the query still holds."""
+    """Groups of late rows dropped in the micro-batches whose progress the query still holds: Spark
+    counts them after its partial aggregation.  ``progress.drops_by_batch`` has the exact rows (W6)."""
     return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", []))
 
 
