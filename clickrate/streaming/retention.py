@@ -7,6 +7,9 @@ come after that start a new count, and an expired count is never used, also not
 expiry and the batch that removes it: every write stores its time, and it is compared again
 when rows arrive.  Emits the running row of each window that a batch changes (update mode);
 ``fresh`` marks a count that began, or began again, in that batch.
+
+Run it with a processing-time trigger.  A state with processing-time timeouts always wants another
+batch, so ``availableNow`` only ends with ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
 """
 
 from __future__ import annotations
