@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clickrate.operators import queries as Q
 from clickrate.operators import rollups as R
-from clickrate.operators.monitoring import invalid_rate_alerts
+from clickrate.operators.monitoring import active_products, invalid_rate_alerts
 from clickrate.operators.parse import parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import count_exprs, merge_counts, window_counts, with_event_time, with_ratio
@@ -301,6 +301,12 @@ def stream_dropped_rows(spark, sf):
     return batches.select(step.alias("step"), "rows_in", "counted", "dropped")
 
 
+def stream_active_products(spark, sf):
+    """Products with results on each day, from the sketches that every batch wrote."""
+    parts = _replay(spark, sf).tables.activity()
+    return active_products(parts, F.date_trunc("day", "window_minute"), "day").select(_ms("day"), "active_products")
+
+
 def stream_invalid_rate_alerts(spark, sf):
     """V9: the alerts from the table that a stream of the records wrote, delivered in steps."""
     from clickrate.streaming.replay import replay_status
@@ -345,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_stored_last_day": stream_stored_last_day,
     "stream_fire_log": stream_fire_log,
     "stream_dropped_rows": stream_dropped_rows,
+    "stream_active_products": stream_active_products,
     "stream_invalid_rate_alerts": stream_invalid_rate_alerts,
     **stored.QUERIES,
     **monitoring.QUERIES,
@@ -570,6 +577,7 @@ def _after_store(body: str) -> str:
 
 
 ORACLE_SQL |= monitoring.oracles(_after_store)
+ORACLE_SQL["stream_active_products"] = _over_ctr10("SELECT window_end // 86400000 * 86400000 AS day, count(DISTINCT product_id) AS active_products FROM ctr GROUP BY 1")
 ORACLE_SQL["stream_invalid_rate_alerts"] = ORACLE_SQL["invalid_rate_alerts"]
 
 # Emissions of a window: one with the counts of all rows that came before the slower source

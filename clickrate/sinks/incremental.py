@@ -1,11 +1,10 @@
-"""K2, K4, K5: replay-safe incremental tables fed from ``foreachBatch``.
+"""Replay-safe incremental tables fed from ``foreachBatch``.
 
 ``foreachBatch`` is at-least-once: after a failure the same batch id is run
-again with the same rows.  Every table here is therefore *versioned by batch
-id*: a batch writes only its own ``batch_id=<n>`` partitions with dynamic
-partition overwrite, so a replay replaces exactly what the first attempt
-wrote, and readers merge versions (merge on read, like a replacing /
-aggregating merge tree).
+again with the same rows.  Every table is therefore *versioned by batch
+id*: a batch writes only its own partitions (window_month, window_day, batch_id)
+with dynamic partition overwrite, so a replay replaces exactly what the first
+attempt wrote, and readers take the newest version of each key.
 
 A query with a fresh checkpoint counts its batches from 0 again.  Its run (the
 streaming query's id, which lives in the checkpoint) therefore gets a base
@@ -13,25 +12,19 @@ above every version written before, kept in ``_runs``; ``batch_id`` in the
 tables is base + batch, so later runs rank above earlier ones and never
 overwrite them, while a restart from the same checkpoint keeps its base.
 
-* ``final``: every emitted CTR row in the columns of ``ctr_results_raw``,
-  partitioned by (segment, window_month, batch_id).  ``read_raw_table`` reads it
-  as the log of all emitted rows; ``final_rows`` keeps the last version per window.
-* ``minute_parts``: mergeable minute-rollup states.  In update mode a window
-  can be emitted again with larger counts, so each batch writes the
-  *difference* to the window's previous version; summing parts then equals
-  the rollup of final rows (no double counting of re-fired windows).
+* ``final``: every emitted CTR row in the columns of ``ctr_results_raw``; ``read_raw_table``
+  reads it as the log of all emitted rows, ``final_rows`` keeps the newest per window.
+* ``minute_parts``: the whole state (A5) of every minute a batch touched, computed anew from
+  the newest rows of its windows, so a window that is emitted again is not counted twice.
 * ``latest``: per batch, the latest row per product; ``latest_view`` merges
-  the batch partials with the same ordering (window_end, batch).
-
-Every ``compact_every`` versions are a segment.  The first batch of a segment
-merges the segments before it into the bases: the months they touch are written
-anew as a generation, the others stay where they are, and a manifest that is
-written last names the folder of each month.  Versions below the running batch
-are committed and never replayed, so nothing that is merged changes later.
-Batches and views read the bases and the segments since, so what they list does
-not grow with the age of the job.  Base folders that two generations have
-replaced are deleted; the log itself stays.  One query at a time may write
-a set of tables.
+  them with the same ordering (window_end, batch).
+* ``activity``: per batch and minute, the sketch of its products; merging is a union.
+
+A batch reads only the days its windows lie in, however old the job is.  ``archive(days)`` is a
+plain job for days that are over: it writes their rows to the same tables under ``archive``, in
+one partition a day, sorted, and leaves the live rows alone.  Views read both and take the newest
+version of each key, so rows that are in both count once; live folders of archived days may be
+removed when no run can go back to them.  One query at a time may write a set of tables.
 """
 
 from __future__ import annotations
@@ -42,57 +35,45 @@ from pyspark.sql import types as T
 
 from clickrate.functions.timekeys import minute_bucket, month_key
 from clickrate.operators import rollups as R
+from clickrate.operators.monitoring import activity_parts, merge_activity
 from clickrate.schema import LATEST_SCHEMA, MINUTE_PARTS_SCHEMA, RAW_TABLE_SCHEMA
 from clickrate.sinks.tables import to_raw_rows
 
-FINAL = "final"
-MINUTE_PARTS = "minute_parts"
-LATEST = "latest"
-RUNS, BASES, MANIFEST = "_runs", "bases", "manifest"
-COMPACT_EVERY = 100
-_MONTH, _BATCH = T.StructField("window_month", T.IntegerType()), T.StructField("batch_id", T.LongType())
-_SCHEMAS = {FINAL: T.StructType([*RAW_TABLE_SCHEMA.fields, _BATCH]),
-            MINUTE_PARTS: T.StructType([*MINUTE_PARTS_SCHEMA.fields, _MONTH, _BATCH]),
-            LATEST: T.StructType([*LATEST_SCHEMA.fields, _BATCH])}
-_MANIFEST_SCHEMA = "name string, month int, generation long, current boolean"
-
-
-def _write_version(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
-
-
-def _hadoop(spark: SparkSession, path: str):
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+FINAL, MINUTE_PARTS, LATEST, ACTIVITY = "final", "minute_parts", "latest", "activity"
+RUNS, ARCHIVE = "_runs", "archive"
+DAY = ["window_month", "window_day"]
+_VERSION = [T.StructField("window_month", T.IntegerType()), T.StructField("window_day", T.DateType()), T.StructField("batch_id", T.LongType())]
+_SCHEMAS = {name: T.StructType([*[f for f in fields if f.name != "window_month"], *_VERSION]) for name, fields in (
+    (FINAL, RAW_TABLE_SCHEMA.fields), (MINUTE_PARTS, MINUTE_PARTS_SCHEMA.fields), (LATEST, LATEST_SCHEMA.fields),
+    (ACTIVITY, [T.StructField("window_minute", T.TimestampType()), T.StructField("products", T.BinaryType())]))}
+# The time that places a row in its day, and what its versions are versions of.
+_TIME = {FINAL: "window_end", MINUTE_PARTS: "window_minute", LATEST: "window_end", ACTIVITY: "window_minute"}
+_KEYS = {FINAL: ["product_id", "window_start", "batch_id"], MINUTE_PARTS: ["product_id", "window_minute"], LATEST: ["product_id"]}
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _hadoop(spark, path)
-    return fs.exists(hpath)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
-def _numbered(spark: SparkSession, path: str, key: str) -> list[int]:
-    """The numbers n of the folders ``key=n`` in ``path``, in order."""
-    fs, hpath = _hadoop(spark, path)
-    names = [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{key}="))
+def _placed(name: str, rows: DataFrame, version) -> DataFrame:
+    """Rows with their day and version, in the table's columns."""
+    at = F.col(_TIME[name])
+    return rows.withColumns({"window_month": month_key(at), "window_day": F.to_date(at), "batch_id": version}).select(_SCHEMAS[name].names)
 
 
-def _merged(name: str, rows: DataFrame, version: int) -> DataFrame:
-    """The rows of one table with what later versions replace left out; ``version`` is the
-    highest that can be among them."""
-    if name == FINAL:
-        rest = [c for c in _SCHEMAS[FINAL].names if c not in ("product_id", "window_start", "window_month")]
-        best = F.max_by(F.struct(*rest), F.col("batch_id")).alias("_b")
-        out = rows.groupBy("product_id", "window_start", "window_month").agg(best).select("product_id", "window_start", "window_month", "_b.*")
-    elif name == MINUTE_PARTS:
-        out = R.merge_minute_parts(rows).withColumns({"window_month": month_key(F.col("window_minute")), "batch_id": F.lit(version).cast("long")})
-    else:
-        rest = [c for c in _SCHEMAS[LATEST].names if c != "product_id"]
-        order = F.struct("window_end", "batch_id", (F.col("latest_impressions") + F.col("latest_clicks")).alias("_total"))
-        out = rows.groupBy("product_id").agg(F.max_by(F.struct(*rest), order).alias("_b")).select("product_id", "_b.*")
-    return out.select(_SCHEMAS[name].names)
+def newest(name: str, rows: DataFrame) -> DataFrame:
+    """The rows of one table with what later versions replace left out; of ``final`` every
+    emission stays, once."""
+    if name == ACTIVITY:
+        merged = rows.groupBy("window_minute", *DAY).agg(F.hll_union_agg("products").alias("products"), F.max("batch_id").alias("batch_id"))
+        return merged.select(_SCHEMAS[name].names)
+    keys = _KEYS[name]
+    order = [F.col("window_end")] if name == LATEST else []
+    total = [(F.col("latest_impressions") + F.col("latest_clicks"))] if name == LATEST else []
+    rest = [c for c in _SCHEMAS[name].names if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*order, F.col("batch_id"), *total)).alias("_b")
+    return rows.groupBy(*keys).agg(best).select(*keys, "_b.*").select(_SCHEMAS[name].names)
 
 
 def _ms_bounds(rows: DataFrame) -> DataFrame:
@@ -109,75 +90,47 @@ def final_rows_from(versions: DataFrame) -> DataFrame:
 
 
 class IncrementalTables:
-    """The three tables under one root folder."""
+    """The tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = COMPACT_EVERY):
-        """``compact_every`` must stay the same for the life of the tables."""
-        self.spark, self.root, self.every = spark, root.rstrip("/"), compact_every
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         self._bases: dict[str, int] = {}
-        self._manifests: dict[int, list] = {}
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def path(self, name: str, archived: bool = False) -> str:
+        return f"{self.root}/{ARCHIVE}/{name}" if archived else f"{self.root}/{name}"
 
-    # -- folders ---------------------------------------------------------------
+    # -- read side ------------------------------------------------------------
     def _files(self, name: str, root: str, folders: list[str]) -> DataFrame:
-        schema = _SCHEMAS[name]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders).select(schema.names)
-
-    def _log(self, name: str, first: int = 0, end: int | None = None) -> DataFrame:
-        """The rows of the segments from ``first`` up to ``end``."""
-        path = self.path(name)
-        return self._files(name, path, [f"{path}/segment={k}" for k in _numbered(self.spark, path, "segment")
-                                        if k >= first and (end is None or k < end)])
-
-    def _manifest(self) -> tuple[int, list]:
-        """The newest generation that is complete (0: none yet) and its rows, one for a month."""
-        path = self.path(MANIFEST)
-        for g in reversed(_numbered(self.spark, path, "generation")):
-            if g not in self._manifests and _exists(self.spark, f"{path}/generation={g}/_SUCCESS"):
-                self._manifests = {g: self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{path}/generation={g}").collect()}
-            if g in self._manifests:
-                return g, self._manifests[g]
-        return 0, []
-
-    def _folder(self, row) -> str:
-        return f"{self.path(BASES)}/{row['name']}/generation={row['generation']}" + ("" if row["month"] is None else f"/window_month={row['month']}")
-
-    def _base_rows(self, name: str, entries: list, months: list[int] | None = None) -> DataFrame:
-        mine = [e for e in entries if e["name"] == name and e["current"] and (months is None or e["month"] in months)]
-        return self._files(name, f"{self.path(BASES)}/{name}", [self._folder(e) for e in mine])
-
-    def _read(self, name: str, months: list[int] | None = None) -> DataFrame:
-        """Base and later segments (of the given months)."""
-        generation, entries = self._manifest()
-        log = self._log(name, generation)
-        return self._base_rows(name, entries, months).unionByName(log if months is None else log.filter(F.col("window_month").isin(months)))
-
-    def compact(self, segment: int) -> None:
-        """Merge all segments before ``segment`` into the bases."""
-        generation, entries = self._manifest()
-        for e in entries:  # replaced a generation ago: no reader looks there any more
-            if not e["current"]:
-                fs, folder = _hadoop(self.spark, self._folder(e))
-                fs.delete(folder, True)
-        now = {(e["name"], e["month"]): e["generation"] for e in entries if e["current"]}
-        old = []
-        for name in _SCHEMAS:
-            log = self._log(name, generation, segment)
-            months = [r[0] for r in log.select("window_month").distinct().collect()] if name != LATEST else [None]
-            if not months:
-                continue
-            rows = self._base_rows(name, entries, months).unionByName(log)
-            writer = _merged(name, rows, segment * self.every - 1).write.mode("overwrite").option("partitionOverwriteMode", "static")
-            (writer if name == LATEST else writer.partitionBy("window_month")).parquet(f"{self.path(BASES)}/{name}/generation={segment}")
-            old += [(name, m, now[name, m], False) for m in months if (name, m) in now]
-            now |= {(name, m): segment for m in months}
-        rows = [(name, month, g, True) for (name, month), g in now.items()] + old
-        (self.spark.createDataFrame(rows, _MANIFEST_SCHEMA).coalesce(1)
-         .write.mode("overwrite").json(f"{self.path(MANIFEST)}/generation={segment}"))
+        return self.spark.read.schema(_SCHEMAS[name]).option("basePath", root).parquet(*folders).select(_SCHEMAS[name].names)
+
+    def _read(self, name: str, days: list | None = None, live_only: bool = False) -> DataFrame:
+        """Every stored version of one table: all of it, or those of some (month, day)s, in which
+        case only the folders of these days are listed."""
+        out = self.spark.createDataFrame([], _SCHEMAS[name])
+        for archived in (False,) if live_only else (False, True):
+            root = self.path(name, archived)
+            folders = [root] if days is None else [f"{root}/window_month={m}/window_day={d}" for m, d in days]
+            folders = [f for f in folders if _exists(self.spark, f)]
+            if folders:
+                out = out.unionByName(self._files(name, root, folders))
+        return out
+
+    def emission_log(self) -> DataFrame:
+        """Every emitted row, with ms bounds."""
+        return _ms_bounds(newest(FINAL, self._read(FINAL)))
+
+    def final_rows(self) -> DataFrame:
+        return final_rows_from(_ms_bounds(self._read(FINAL)))
+
+    def minute_view(self) -> DataFrame:
+        return R.finish_minute(newest(MINUTE_PARTS, self._read(MINUTE_PARTS)).drop(*DAY, "batch_id"))
+
+    def latest_view(self) -> DataFrame:
+        return R.latest_merge(self._read(LATEST), "batch_id")
+
+    def activity(self) -> DataFrame:
+        """window_minute and the sketch of the products with results in it."""
+        return merge_activity(self._read(ACTIVITY))
 
     # -- write side (called once per micro-batch) --------------------------
     def _base(self, run: str) -> int:
@@ -187,74 +140,56 @@ class IncrementalTables:
             known = ({r["run"]: r["base"] for r in self.spark.read.schema("run string, base long").json(path).collect()}
                      if _exists(self.spark, path) else {})
             if run not in known:
-                newest = [self._read(n).agg(F.max("batch_id")).first()[0] for n in _SCHEMAS]
-                known[run] = max([-1, *(int(x) for x in newest if x is not None)]) + 1
+                top = [self._read(n).agg(F.max("batch_id")).first()[0] for n in _SCHEMAS] if known else []
+                known[run] = max([-1, *(int(x) for x in top if x is not None)]) + 1
                 (self.spark.createDataFrame([(run, known[run])], "run string, base long")
                  .coalesce(1).write.mode("append").json(path))
             self._bases[run] = known[run]
         return self._bases[run]
 
+    def _write(self, name: str, rows: DataFrame, archived: bool = False) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*DAY, *([] if archived else ["batch_id"])).parquet(self.path(name, archived)))
+
     def apply_batch(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
         """``batch``: CTR rows (ms bounds) emitted by the stream in this batch.  ``run``
         names the checkpoint it belongs to (default: the id of the running query)."""
-        spark = self.spark
-        run = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        run = run or self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
         batch_id = self._base(run) + batch_id
-        generation, segment = self._manifest()[0], batch_id // self.every
-        if segment > generation:
-            self.compact(segment)
-        segment = F.lit(max(segment, generation)).cast("long")
         version = F.lit(batch_id).cast("long")
-        rows = to_raw_rows(batch).withColumn("batch_id", version).persist()
+        rows = _placed(FINAL, to_raw_rows(batch), version).persist()
         try:
-            self._write_minute_deltas(rows, batch_id, segment)
-            latest = R.latest_per_product(rows, ("batch_id",)).withColumns({"batch_id": version, "segment": segment})
-            _write_version(latest, self.path(LATEST), ["segment", "batch_id"])
-            _write_version(rows.withColumn("segment", segment).sortWithinPartitions("window_month", "window_end", "product_id"),
-                           self.path(FINAL), ["segment", "window_month", "batch_id"])
+            # A few dates and two times reach the driver: they name the folders to read and bound the scan.
+            b = rows.agg(F.collect_set(F.struct("window_month", "window_day")).alias("days"),
+                         F.unix_millis(F.min(minute_bucket(F.col("window_end")))).alias("lo"), F.unix_millis(F.max(minute_bucket(F.col("window_end")))).alias("hi")).first()
+            if b["days"]:
+                self._write(MINUTE_PARTS, _placed(MINUTE_PARTS, self._touched_minutes(rows, batch_id, b), version))
+                self._write(LATEST, _placed(LATEST, R.latest_per_product(rows, ("batch_id",)), version))
+                self._write(ACTIVITY, _placed(ACTIVITY, activity_parts(rows), version))
+            self._write(FINAL, rows.sortWithinPartitions(*DAY, "window_end", "product_id"))
         finally:
             rows.unpersist()
 
-    def _write_minute_deltas(self, rows: DataFrame, batch_id: int, segment) -> None:
-        # Earlier versions of the windows this batch touches: same months
-        # (partition pruning), earlier batches, and the batch's window
-        # range (row-group skipping on the sorted files).
-        # Three numbers and a few month keys per batch reach the driver,
-        # so they become literal filters: static partition pruning plus
-        # pushed-down Parquet filters.
-        start_ms = F.unix_millis("window_start")
-        b = rows.agg(F.min(start_ms).alias("lo"), F.max(start_ms).alias("hi"),
-                     F.collect_set("window_month").alias("months")).first()
-        prev = (self._read(FINAL, list(b["months"] or [])).filter(F.col("batch_id") < batch_id)
-                .filter(F.col("window_start").between(F.timestamp_millis(F.lit(b["lo"])), F.timestamp_millis(F.lit(b["hi"])))))
-        prev = final_rows_from(prev).select(
-            "product_id", "window_start",
-            F.col("impressions").alias("p_imp"), F.col("clicks").alias("p_clk"), F.col("ctr").alias("p_ctr"))
-        cur = rows.join(prev, ["product_id", "window_start"], "left")
-        first = F.col("p_imp").isNull()
-        delta = cur.select(
-            "product_id", "window_month",
-            minute_bucket(F.col("window_end")).alias("window_minute"),
-            (F.col("ctr") - F.coalesce("p_ctr", F.lit(0.0))).alias("ctr_sum"),
-            F.when(first, 1).otherwise(0).cast("long").alias("ctr_n"),
-            (F.col("impressions") - F.coalesce("p_imp", F.lit(0))).alias("impressions"),
-            (F.col("clicks") - F.coalesce("p_clk", F.lit(0))).alias("clicks"),
-            F.col("window_end").alias("latest_window"))
-        parts = R.merge_minute_parts(delta.drop("window_month")).withColumns({
-            "window_month": month_key(F.col("window_minute")),
-            "batch_id": F.lit(batch_id).cast("long"), "segment": segment})
-        _write_version(parts, self.path(MINUTE_PARTS), ["segment", "window_month", "batch_id"])
-
-    # -- read side ------------------------------------------------------------
-    def emission_log(self) -> DataFrame:
-        """Every emitted row, with ms bounds."""
-        return _ms_bounds(self._log(FINAL))
-
-    def final_rows(self) -> DataFrame:
-        return final_rows_from(_ms_bounds(self._read(FINAL)))
-
-    def minute_view(self) -> DataFrame:
-        return R.finish_minute(self._read(MINUTE_PARTS).drop("window_month", "batch_id"))
-
-    def latest_view(self) -> DataFrame:
-        return R.latest_merge(self._read(LATEST), "batch_id")
+    def _touched_minutes(self, rows: DataFrame, batch_id: int, b) -> DataFrame:
+        """The state of each (product, minute) of the batch, from its windows' newest rows."""
+        columns = ["product_id", "window_start", "window_end", "impressions", "clicks", "ctr", "batch_id"]
+        end = F.col("window_end")
+        before = (self._read(FINAL, [(d["window_month"], d["window_day"]) for d in b["days"]])
+                  .filter((F.col("batch_id") < batch_id) & (end >= F.timestamp_millis(F.lit(b["lo"]))) & (end < F.timestamp_millis(F.lit(b["hi"] + 60_000)))))
+        minute = minute_bucket(end).alias("window_minute")
+        touched = rows.select("product_id", minute).distinct()
+        known = before.select(*columns, minute).join(touched, ["product_id", "window_minute"], "left_semi").select(columns)
+        return R.minute_parts(final_rows_from(known.unionByName(rows.select(columns))))
+
+    # -- maintenance -----------------------------------------------------------
+    def archive(self, days: list) -> None:
+        """Write the live rows of the given days (dates) to the archive, one partition a day.
+        Running it again writes the same, from the live rows and what was archived before."""
+        named = [(d.year * 100 + d.month, d) for d in days]
+        for name in _SCHEMAS:
+            # Stored first: what is written must not depend on the partitions that it replaces.
+            scratch = f"{self.path(name, archived=True)}-next"
+            newest(name, self._read(name, named)).write.mode("overwrite").parquet(scratch)
+            rows = self.spark.read.schema(_SCHEMAS[name]).parquet(scratch)
+            order = [*DAY, *(c for c in (_TIME[name], "product_id") if c in _SCHEMAS[name].names)]
+            self._write(name, rows.repartitionByRange(*order).sortWithinPartitions(*order), archived=True)

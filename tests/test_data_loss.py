@@ -1,6 +1,8 @@
 """Cases in which rows were once lost, and the settings that guard against them."""
 
+import datetime
 import os
+import shutil
 
 import pandas as pd
 import pytest
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 
 from clickrate.plans.batch import batch_ctr
 from clickrate.operators import rollups as R
-from clickrate.sinks.incremental import FINAL, LATEST, MINUTE_PARTS, IncrementalTables, _ms_bounds, final_rows_from
+from clickrate.operators.monitoring import active_products
+from clickrate.sinks.incremental import ACTIVITY, FINAL, LATEST, MINUTE_PARTS, IncrementalTables
 from clickrate.sinks.tables import compact_months, to_raw_rows, write_raw_table
 from clickrate.sources.kafka import kafka_reader
 from clickrate.sources.result_table import read_raw_table
@@ -16,6 +19,7 @@ from clickrate.streaming.fire_log import _fire_fn
 from clickrate.streaming.job import WindowSettings, start_ctr_query
 from tests.conftest import SF_SMALL
 
+ROW_NAMES = ("product_id", "impressions", "clicks", "ctr", "window_start", "window_end")
 ROW = "product_id string, impressions long, clicks long, ctr double, window_start long, window_end long"
 
 
@@ -35,35 +39,52 @@ def test_fresh_checkpoint_keeps_earlier_rows(spark, tmp_path):
 
 
 def test_fifty_batches_read_a_constant_number_of_folders(spark, tmp_path):
-    tables, read = IncrementalTables(spark, str(tmp_path), compact_every=8), []
+    tables, read = IncrementalTables(spark, str(tmp_path)), []
     seen = tables._files
 
     def files(name, root, folders):
         read.append(sum(any(x.endswith(".parquet") for x in names) for f in folders for _, _, names in os.walk(f)))
         return seen(name, root, folders)
 
-    tables._files, per_batch = files, []
+    tables._files, per_batch, step = files, [], 21_600_000
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
         for n in range(50):  # batch n emits window n first, and window n - 1 again with more impressions
-            rows = [("a", 4, 2, 0.5, 10_000 * n, 10_000 * n + 10_000), ("a", 8, 2, 0.25, 10_000 * n - 10_000, 10_000 * n)]
+            rows = [("a", 4, 2, 0.5, step * n, step * n + 10_000), ("a", 8, 2, 0.25, step * (n - 1), step * (n - 1) + 10_000)]
             read.clear()
             tables.apply_batch(spark.createDataFrame(rows[: 1 + (n > 0)], ROW).coalesce(1), n, run="r")
             per_batch.append(sum(read))
-        assert len({tuple(per_batch[k : k + 8]) for k in range(17, 41, 8)}) == 1, per_batch
-        rows = lambda *views: [sorted(map(tuple, v.collect())) for v in views]
-        views = lambda: rows(tables.final_rows(), tables.minute_view(), tables.latest_view())
-        before, log = views(), {n: tables._log(n) for n in (FINAL, MINUTE_PARTS, LATEST)}
-        assert before == rows(final_rows_from(_ms_bounds(log[FINAL])), R.finish_minute(log[MINUTE_PARTS]), R.latest_merge(log[LATEST], "batch_id"))
-        assert len(before[0]) == 50 and sum(r[1] for r in before[0]) == 49 * 8 + 4 and tables.emission_log().count() == 99
-        tables.compact(7)
+        assert len({tuple(per_batch[k : k + 4]) for k in range(9, 49, 4)}) == 1, per_batch
+        views = lambda: [sorted(map(tuple, v.collect())) for v in (tables.final_rows(), tables.minute_view(), tables.latest_view(), tables.emission_log().select(*ROW_NAMES, "batch_id"))]
+        before = views()
+        assert len(before[0]) == 50 and sum(r[1] for r in before[0]) == 49 * 8 + 4 and len(before[3]) == 99
+        assert before[1] == sorted(map(tuple, R.minute_rollup(R.as_timestamps(tables.final_rows())).collect()))
+        days = [datetime.date(1970, 1, k) for k in range(1, 10)]
+        for _ in range(2):  # rows in both places count once, and archiving again changes nothing
+            tables.archive(days)
+            assert views() == before
+        for name in (FINAL, MINUTE_PARTS, LATEST, ACTIVITY):  # as an operator may do for days that are over
+            for d in days:
+                shutil.rmtree(f"{tables.path(name)}/window_month=197001/window_day={d}", ignore_errors=True)
         assert views() == before
-        tables.apply_batch(spark.createDataFrame([("b", 8, 2, 0.25, 0, 10_000)], ROW), 0, run="next")  # a new run comes after all versions
-        assert [r for r in views()[0] if r[0] == "a"] == before[0] and len(views()[0]) == 51
+        tables.apply_batch(spark.createDataFrame([("a", 9, 3, 1 / 3, 0, 10_000), ("b", 8, 2, 0.25, 0, 10_000)], ROW), 0, run="next")  # a later run goes back to an archived day
+        after = views()
+        assert [r for r in after[0] if r[0] == "a" and r[4]] == [r for r in before[0] if r[4]] and len(after[0]) == 51
+        assert [(r[1], r[2]) for r in after[0] if r[0] == "a" and r[4] == 0] == [(9, 3)] and len(after[3]) == 101
+        tables.archive(days[:1])
+        assert views() == after
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_activity_counts_windows_that_are_emitted_again_once(spark, tmp_path):
+    tables = IncrementalTables(spark, str(tmp_path))
+    row = lambda p, i: (p, i, 0, 0.0, 0, 10_000)
+    for n, rows in enumerate(([row("a", 1), row("b", 1)], [row("a", 2)], [row("c", 1)])):
+        tables.apply_batch(spark.createDataFrame(rows, ROW), n, run="r")
+    assert active_products(tables.activity(), F.col("window_minute")).collect()[0]["active_products"] == 3
+
+
 class State:
     def __init__(self, value, watermark):
         self.value, self.watermark, self.hasTimedOut = value, watermark, False
