@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickrate.llm import chat, lexical, queries, whitening
+from clickrate.llm import chat, lexical, quality, queries, whitening
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -236,3 +236,52 @@ def test_best_positions_stop_early():
         if len(met) >= 20 and sum(int(x[1][depth]) for x in lists) < np.sort(total[met])[-20]:
             break
     assert seen < n // 100 and len(docs) <= len(met)
+
+
+# -- quality: the unlabelled side is every row ------------------------------------------------------
+
+def _numpy_totals(u):
+    return lambda fn, width: sum(fn(part) for part in np.array_split(u, 7))
+
+
+def test_non_negative_risk_is_its_formula():
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(1, 1, (40, 3)), rng.normal(-0.5, 1, (90, 3))
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+
+    def risk(w, prior):
+        zp, zu = p @ w[:-1] + w[-1], u @ w[:-1] + w[-1]
+        negative = sigmoid(zu).mean() - prior * sigmoid(zp).mean()
+        return prior * sigmoid(-zp).mean() + max(0.0, negative), negative
+
+    for prior, w in ((0.3, np.array([0.4, -0.2, 0.1, 0.3])), (0.95, np.array([1.0, 1.0, 1.0, -0.5]))):
+        got, step = quality.non_negative_step(prior, quality.unlabelled_loss(p, w) / len(p), quality.unlabelled_loss(u, w) / len(u))
+        want, negative = risk(w, prior)
+        assert got == pytest.approx(want)
+        if negative >= 0:
+            slope = [(risk(w + e, prior)[0] - risk(w - e, prior)[0]) / 2e-6 for e in 1e-6 * np.eye(4)]
+        else:  # the step goes against the negative term alone
+            slope = [-(risk(w + e, prior)[1] - risk(w - e, prior)[1]) / 2e-6 for e in 1e-6 * np.eye(4)]
+        assert np.allclose(step, slope, atol=1e-6)
+    assert negative < 0  # both sides of the rule were met
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.8])
+def test_known_prior_is_found(prior):
+    rng = np.random.default_rng(int(prior * 10))
+    good, bad = (lambda n: rng.normal(1.5, 1, (n, quality.FEATURES))), (lambda n: rng.normal(-1.5, 1, (n, quality.FEATURES)))
+    n = 4000
+    u = np.r_[good(int(prior * n)), bad(n - int(prior * n))]
+    labelled, y = np.r_[good(300), bad(300)], np.r_[np.ones(300), np.zeros(300)]
+    model = quality.train(labelled, y, _numpy_totals(u))
+    assert abs(model.prior - prior) < 0.06
+    assert ((model.score(np.r_[good(500), bad(500)]) > 0.5) == np.r_[np.ones(500), np.zeros(500)]).mean() > 0.98
+
+
+def test_totals_cover_every_row(spark):
+    rows = np.random.default_rng(3).normal(size=(1000, quality.FEATURES))
+    df = spark.createDataFrame([(r.tolist(),) for r in rows], "x array<double>").repartition(7)
+    w = np.linspace(-1, 1, quality.FEATURES + 1)
+    got = quality.totals_of(df)(lambda x: quality.unlabelled_loss(x, w), len(w) + 1)
+    assert np.allclose(got, quality.unlabelled_loss(rows, w), rtol=1e-12)
+    assert quality.totals_of(df.limit(0))(lambda x: np.array([float(len(x))]), 1)[0] == 0
