@@ -270,11 +270,11 @@ def test_non_negative_risk_is_its_formula():
 def test_known_prior_is_found(prior):
     rng = np.random.default_rng(int(prior * 10))
     good, bad = (lambda n: rng.normal(1.5, 1, (n, quality.FEATURES))), (lambda n: rng.normal(-1.5, 1, (n, quality.FEATURES)))
-    n = 4000
+    n = 40_000  # with few unlabelled rows the first scorer fits their positives as negatives, and the estimate is low
     u = np.r_[good(int(prior * n)), bad(n - int(prior * n))]
-    labelled, y = np.r_[good(300), bad(300)], np.r_[np.ones(300), np.zeros(300)]
+    labelled, y = np.r_[good(2000), bad(300)], np.r_[np.ones(2000), np.zeros(300)]
     model = quality.train(labelled, y, _numpy_totals(u))
-    assert abs(model.prior - prior) < 0.06
+    assert abs(model.prior - prior) < 0.03
     assert ((model.score(np.r_[good(500), bad(500)]) > 0.5) == np.r_[np.ones(500), np.zeros(500)]).mean() > 0.98
 
 
