@@ -530,6 +530,13 @@ ORDER BY window_end DESC, product_id LIMIT 5"""),
     "stored_product_history": _over_store(f"""SELECT product_id, impressions, clicks, ctr, window_start, window_end
 FROM ctr WHERE product_id = '{stored.PRODUCT}'"""),
 }
+ORACLE_SQL |= {
+    "stored_sink_columns": _over_store("SELECT product_id, ctr, impressions, clicks, window_start, window_end FROM ctr"),
+    "stored_insert_times": _over_store("SELECT TRUE AS whole_ms, TRUE AS recent, count(*) AS n FROM ctr"),
+    "stored_order": _over_store("SELECT CAST(0 AS BIGINT) AS out_of_order, count(*) AS n FROM ctr"),
+    "stored_sample": _over_store("SELECT least(count(*), 100) AS n, least(count(*), 100) AS known FROM ctr"),
+    "stored_export": _over_store("SELECT product_id, ctr, impressions, clicks, window_start, window_end FROM ctr"),
+}
 
 _6H_MS = WINDOW_6H * 1000
 # Valid events with their slice and delivery step; the watermark a step starts with.

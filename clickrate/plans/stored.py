@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickrate.functions.timekeys import month_key
@@ -19,9 +20,10 @@ from clickrate.operators import queries as Q
 from clickrate.operators import rollups as R
 from clickrate.operators.monitoring import activity_parts, latency_parts
 from clickrate.operators.parse import parse_payloads
+from clickrate.operators.window_agg import sink_projection
 from clickrate.plans.batch import batch_ctr
 from clickrate.session import shared_dir
-from clickrate.sinks.tables import to_raw_rows, write_raw_table
+from clickrate.sinks.tables import export, to_raw_rows, write_raw_table
 from clickrate.sources.events_adapter import arrival_records, load_events
 from clickrate.sources.result_table import newest_end_ms, read_raw_table
 
@@ -126,6 +128,45 @@ def stored_product_history(spark, sf):
     return _ms(Q.product_history(read_raw_table(spark, store(spark, sf).raw), PRODUCT))
 
 
+def stored_sink_columns(spark, sf):
+    """the six sink columns of every stored row, in insert order."""
+    return _ms(sink_projection(read_raw_table(spark, store(spark, sf).raw)))
+
+
+def stored_insert_times(spark, sf):
+    """Stored rows by whether their insert time has whole milliseconds and lies after the
+    table's first row was computed and before now."""
+    at = F.unix_micros("inserted_at")
+    now = F.unix_micros(F.current_timestamp())
+    return read_raw_table(spark, store(spark, sf).raw).groupBy(
+        (F.pmod(at, F.lit(1000)) == 0).alias("whole_ms"), ((at <= now) & (at > now - DAY_S * 1_000_000)).alias("recent")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stored_order(spark, sf):
+    """Q6: stored rows that stand behind a later (window_end, product_id) in their file; each file
+    is one window partition, in the order of its rows."""
+    rows = read_raw_table(spark, store(spark, sf).raw).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nr"), "window_end", "product_id")
+    place = F.struct("window_end", "product_id")
+    before = F.lag(place).over(W.partitionBy("file").orderBy("nr"))
+    return rows.select((before > place).alias("late")).agg(F.count_if("late").alias("out_of_order"), F.count(F.lit(1)).alias("n"))
+
+
+def stored_sample(spark, sf):
+    """Q3: how many rows a sample of 100 has, and how many of them are rows of the table."""
+    rows = read_raw_table(spark, store(spark, sf).raw).select("product_id", "window_end", "impressions", "clicks")
+    taken = Q.sample(rows, 100)
+    return taken.join(rows.distinct().withColumn("known", F.lit(True)), rows.columns, "left").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("known"))
+
+
+def stored_export(spark, sf, fmt="csv"):
+    """K7: the stored rows written as CSV with a header, and read back from it."""
+    path = shared_dir(spark, f"export-{fmt}")
+    rows = sink_projection(read_raw_table(spark, store(spark, sf).raw))
+    export(_ms(rows), path, fmt)
+    return spark.read.schema(_ms(rows).schema).option("header", True).format(fmt).load(path)
+
+
 QUERIES = {f.__name__: f for f in (
     stored_count, stored_last_day, stored_avg_ctr_24h, stored_avg_ctr_24h_rollup, stored_minute_rollup,
-    stored_minute_series, stored_latest_top10, stored_latest_lookup, stored_recent_top5, stored_product_history)}
+    stored_minute_series, stored_latest_top10, stored_latest_lookup, stored_recent_top5, stored_product_history,
+    stored_sink_columns, stored_insert_times, stored_order, stored_sample, stored_export)}
