@@ -19,8 +19,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with enough confidence."""
-    found = langid.identify(spark, docs, langid.learn(docs), COLUMNS)
+    """Documents whose language is known with enough confidence.  Where no document has a known
+    language there is nothing to learn from, and nothing to reject by: all stay."""
+    model = langid.learn(docs)
+    if model is None:
+        return docs.select(COLUMNS)
+    found = langid.identify(spark, docs, model, COLUMNS)
     return found.filter(~F.col("rejected")).select(COLUMNS)
 
 
