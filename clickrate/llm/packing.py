@@ -8,9 +8,10 @@ sequence a shard against packing all of them together.
 For each shard, several islands evolve solutions (which piece lies in which bin).  Crossover
 injects whole well-filled bins of one parent into the other, removes the bins of the other
 that hold the same pieces, and puts the displaced pieces back longest first, each where it
-leaves the least room (best fit).  After an epoch each island sends its elite to the next
-island of its shard.  An island stops early when its bins reach the lower bound, the
-shard's tokens over the length, rounded up.
+leaves the least room (best fit).  The islands start from best-fit packings in disturbed orders;
+the first one also has best-fit decreasing, so no shard ends above that.  After an epoch each
+island sends its elite to the next island of its shard.  An island stops after a generation
+whose best has as many bins as the lower bound, the shard's tokens over the length, rounded up.
 
 With ``added`` (``op9`` and the pipeline) an added token's string in a text, ``<|endoftext|>``,
 is that token's one id, as the ``tokenizers`` library gives it by default; without, it is
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 from clickrate.llm.common import map_rows, stored, table
 from clickrate.llm.tokens import VOCABULARY, word_ids
 
-LENGTH, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 16_000, 2, 2, 4, 3
+LENGTH, SHARD, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2048, 16_000, 3, 2, 8, 6
+DISTURBED = 0.3  # share by which a first solution's order departs from falling lengths
 _SEPARATOR = b"\0\0\0\0"
-_ELITE = "shard int, island int, bins long, place binary"
+_ELITE = "shard int, island int, bins long, crossovers int, place binary"
 
 
 def pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
@@ -113,33 +115,39 @@ def crossover(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, length: int, rn
     return child
 
 
-def evolve(lengths: np.ndarray, elites: list[np.ndarray], seed: int, length: int, generations: int, population: int) -> np.ndarray:
+def evolve(lengths: np.ndarray, elites: list[np.ndarray], seed: int, length: int, generations: int, population: int,
+           plain: bool = True) -> tuple[np.ndarray, int]:
+    """The best solution found, and the number of crossovers.  The first solutions are elites and
+    best-fit packings in disturbed orders, which are weaker than best-fit decreasing; ``plain``
+    adds that one too.  Children replace the worst; the bound ends the search after a generation."""
     rng = np.random.default_rng(seed)
     least = -(-int(lengths.sum()) // length)
     pool = list(elites)
     while len(pool) < population:
-        pool.append(_built(lengths, np.ones(len(lengths)) if not pool else rng.uniform(0.9, 1.1, len(lengths)), length))
-        if pool[-1].max() + 1 == least:
-            return pool[-1]
+        first = plain and not elites and not pool
+        pool.append(_built(lengths, np.ones(len(lengths)) if first else rng.uniform(1 - DISTURBED, 1 + DISTURBED, len(lengths)), length))
     pool.sort(key=lambda p: _worth(p, lengths))
+    crossovers = 0
     for _ in range(generations):
+        for _ in range(population // 2):
+            i, j = rng.permutation(len(pool))[:2]
+            pool.append(crossover(pool[i], pool[j], lengths, length, rng))
+            crossovers += 1
+        pool.sort(key=lambda p: _worth(p, lengths))
+        del pool[population:]
         if pool[0].max() + 1 == least:
             break
-        i, j = rng.permutation(len(pool))[:2]
-        pool.append(crossover(pool[i], pool[j], lengths, length, rng))
-        pool.sort(key=lambda p: _worth(p, lengths))
-        pool.pop()
-    return pool[0]
+    return pool[0], crossovers
 
 
 def _searcher(epoch: int, length: int):
     def search(key, mine: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
         if mine.empty:
-            return pd.DataFrame({"shard": [], "island": [], "bins": [], "place": []})
+            return pd.DataFrame({"shard": [], "island": [], "bins": [], "crossovers": [], "place": []})
         lengths = mine.sort_values("uid")["length"].to_numpy().astype(np.int64)
         got = [np.frombuffer(p, np.int32) for p in sent.sort_values(["bins", "origin"])["place"]]
-        best = evolve(lengths, got, 1_000_003 * int(key[0]) + 101 * int(key[1]) + epoch, length, GENERATIONS, POPULATION)
-        return pd.DataFrame({"shard": [key[0]], "island": [key[1]], "bins": [int(best.max()) + 1], "place": [best.astype(np.int32).tobytes()]})
+        best, crossovers = evolve(lengths, got, 1_000_003 * int(key[0]) + 101 * int(key[1]) + epoch, length, GENERATIONS, POPULATION, plain=key[1] == 0)
+        return pd.DataFrame({"shard": [key[0]], "island": [key[1]], "bins": [int(best.max()) + 1], "crossovers": [crossovers], "place": [best.astype(np.int32).tobytes()]})
 
     return search
 
@@ -165,6 +173,16 @@ def _settler(length: int):
     return settle
 
 
+def evolved(spark: SparkSession, small: DataFrame, length: int) -> list[DataFrame]:
+    """The islands' elites after each epoch; ``small`` has shard, uid and length of the pieces."""
+    isles = stored(spark, small.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))), "islands")
+    epochs = [spark.createDataFrame([], _ELITE)]
+    for epoch in range(EPOCHS):
+        sent = epochs[-1].select("shard", F.col("island").alias("origin"), F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int"))).alias("island"), "bins", "place")
+        epochs.append(stored(spark, isles.groupBy("shard", "island").cogroup(sent.groupBy("shard", "island")).applyInPandas(_searcher(epoch, length), _ELITE), f"elites-{epoch}"))
+    return epochs[1:]
+
+
 def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY, shard: int = SHARD, added: bool = False) -> DataFrame:
     """The pieces with sequence_id and offset."""
     cut = stored(spark, pieces(docs, length, vocabulary, added).withColumn("uid", F.monotonically_increasing_id()), "pieces")
@@ -172,11 +190,7 @@ def pack(spark: SparkSession, docs: DataFrame, length: int = LENGTH, vocabulary:
     cut = cut.withColumn("shard", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int"))
     # a piece of the whole length is a sequence already: it takes no part in the search
     small = cut.filter(F.col("length") < length).select("shard", "uid", F.col("length").cast("int").alias("length"))
-    isles = stored(spark, small.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))), "islands")
-    elites = spark.createDataFrame([], _ELITE)
-    for epoch in range(EPOCHS):
-        sent = elites.select("shard", F.col("island").alias("origin"), F.explode(F.array("island", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int"))).alias("island"), "bins", "place")
-        elites = stored(spark, isles.groupBy("shard", "island").cogroup(sent.groupBy("shard", "island")).applyInPandas(_searcher(epoch, length), _ELITE), f"elites-{epoch}")
+    elites = evolved(spark, small, length)[-1]
 
     best = elites.groupBy("shard").agg(F.min_by("place", F.struct("bins", "island")).alias("place"))
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickrate.llm import chat, lexical, quality, queries, whitening
+from clickrate.llm import chat, lexical, packing, quality, queries, whitening
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -285,3 +285,48 @@ def test_totals_cover_every_row(spark):
     got = quality.totals_of(df)(lambda x: quality.unlabelled_loss(x, w), len(w) + 1)
     assert np.allclose(got, quality.unlabelled_loss(rows, w), rtol=1e-12)
     assert quality.totals_of(df.limit(0))(lambda x: np.array([float(len(x))]), 1)[0] == 0
+
+
+# -- packing: the search itself -------------------------------------------------------------------
+
+def plain_best_fit(n, length):
+    return int(packing._built(n, np.ones(len(n)), length).max()) + 1
+
+
+def fewest_bins(n, length):
+    """By all subsets: the fewest bins, then the least fill of the last one."""
+    best = [(0, length)] + [(len(n) + 1, 0)] * (2 ** len(n) - 1)
+    for s in range(1, 2 ** len(n)):
+        for i, x in enumerate(n):
+            if s >> i & 1:
+                bins, fill = best[s ^ 1 << i]
+                best[s] = min(best[s], (bins, fill + x) if fill + x <= length else (bins + 1, x))
+    return best[-1][0]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_reaches_the_optimum_of_few_pieces(seed):
+    n = np.random.default_rng(seed).integers(3, 12, 11)
+    place, crossovers = packing.evolve(n, [], seed, 20, packing.GENERATIONS, packing.POPULATION)
+    assert np.bincount(place, n).max() <= 20 and crossovers > 0
+    assert place.max() + 1 == fewest_bins(n.tolist(), 20) <= plain_best_fit(n, 20)
+
+
+def test_packing_beats_best_fit_where_that_is_above_the_bound():
+    n = np.random.default_rng(4).integers(500, 900, 3000)
+    place, crossovers = packing.evolve(n, [], 1, 2048, packing.GENERATIONS, packing.POPULATION)
+    assert crossovers == packing.GENERATIONS * (packing.POPULATION // 2)
+    assert -(-n.sum() // 2048) <= place.max() + 1 < plain_best_fit(n, 2048)
+    # an island without best-fit decreasing gains from an elite that comes to it
+    alone, _ = packing.evolve(n, [], 2, 2048, 2, packing.POPULATION, plain=False)
+    helped, _ = packing.evolve(n, [place], 2, 2048, 2, packing.POPULATION, plain=False)
+    assert helped.max() < alone.max()
+
+
+def test_packing_query_runs_crossovers_and_migration(spark):
+    cut = packing.pieces(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), added=True).filter("length < 2048")
+    small = cut.selectExpr("0 AS shard", "monotonically_increasing_id() AS uid", "int(length) AS length")
+    epochs = [e.orderBy("island").collect() for e in packing.evolved(spark, small, 2048)]
+    assert len(epochs) == packing.EPOCHS and all(len(e) == packing.ISLANDS and all(r["crossovers"] > 0 for r in e) for e in epochs)
+    n = np.array([r["length"] for r in small.orderBy("uid").collect()])
+    assert min(r["bins"] for r in epochs[-1]) <= plain_best_fit(n, 2048)
