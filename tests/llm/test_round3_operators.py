@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from clickrate.llm import chat, lexical, packing, quality, queries, whitening
 from tests.oracle import compare, duck
 
@@ -330,3 +331,9 @@ def test_packing_query_runs_crossovers_and_migration(spark):
     assert len(epochs) == packing.EPOCHS and all(len(e) == packing.ISLANDS and all(r["crossovers"] > 0 for r in e) for e in epochs)
     n = np.array([r["length"] for r in small.orderBy("uid").collect()])
     assert min(r["bins"] for r in epochs[-1]) <= plain_best_fit(n, 2048)
+
+
+def test_pipeline_without_known_languages_keeps_documents(spark):
+    rows = spark.createDataFrame([(1, "a text", None, "s", 6, "x"), (2, None, None, None, None, "y")], "doc_id long, text string, lang string, source string, n_chars long, extra string")
+    kept = corpus_pipeline.language_id(spark, rows, "")
+    assert kept.columns == corpus_pipeline.COLUMNS and sorted(r["doc_id"] for r in kept.collect()) == [1, 2]
