@@ -1,4 +1,4 @@
-"""Bounds and edge rows of operators 4, 7 and 8: memory of a block, ranges of files, rejected languages."""
+"""Operators 7 and 8: Wu-Manber against brute force, memory of a block, long items; languages that were not learned."""
 
 import random
 import tracemalloc
