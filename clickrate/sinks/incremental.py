@@ -20,6 +20,11 @@ overwrite them, while a restart from the same checkpoint keeps its base.
   them with the same ordering (window_end, batch).
 * ``activity``: per batch and minute, the sketch of its products; merging is a union.
 
+A batch's rows are stored first, under ``_incoming`` in place of the batch before, and all tables
+are written from there: the window state is computed once, and only that one stage's tasks send
+the state store's counters to the driver.  Every task of a plan over the state sends a counter for
+each of its partitions, so each further stage would send as many as the partitions squared.
+
 A batch reads only the days its windows lie in, however old the job is.  ``archive(days)`` is a
 plain job for days that are over: it writes their rows to the same tables under ``archive``, in
 one partition a day, sorted, and leaves the live rows alone.  Views read both and take the newest
@@ -40,7 +45,7 @@ from clickrate.schema import LATEST_SCHEMA, MINUTE_PARTS_SCHEMA, RAW_TABLE_SCHEM
 from clickrate.sinks.tables import to_raw_rows
 
 FINAL, MINUTE_PARTS, LATEST, ACTIVITY = "final", "minute_parts", "latest", "activity"
-RUNS, ARCHIVE = "_runs", "archive"
+RUNS, ARCHIVE, INCOMING = "_runs", "archive", "_incoming"
 DAY = ["window_month", "window_day"]
 _VERSION = [T.StructField("window_month", T.IntegerType()), T.StructField("window_day", T.DateType()), T.StructField("batch_id", T.LongType())]
 _SCHEMAS = {name: T.StructType([*[f for f in fields if f.name != "window_month"], *_VERSION]) for name, fields in (
@@ -157,18 +162,21 @@ class IncrementalTables:
         run = run or self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
         batch_id = self._base(run) + batch_id
         version = F.lit(batch_id).cast("long")
-        rows = _placed(FINAL, to_raw_rows(batch), version).persist()
-        try:
-            # A few dates and two times reach the driver: they name the folders to read and bound the scan.
-            b = rows.agg(F.collect_set(F.struct("window_month", "window_day")).alias("days"),
-                         F.unix_millis(F.min(minute_bucket(F.col("window_end")))).alias("lo"), F.unix_millis(F.max(minute_bucket(F.col("window_end")))).alias("hi")).first()
-            if b["days"]:
-                self._write(MINUTE_PARTS, _placed(MINUTE_PARTS, self._touched_minutes(rows, batch_id, b), version))
-                self._write(LATEST, _placed(LATEST, R.latest_per_product(rows, ("batch_id",)), version))
-                self._write(ACTIVITY, _placed(ACTIVITY, activity_parts(rows), version))
-            self._write(FINAL, rows.sortWithinPartitions(*DAY, "window_end", "product_id"))
-        finally:
-            rows.unpersist()
+        rows = _placed(FINAL, self._stored(to_raw_rows(batch)), version)
+        # A few dates and two times reach the driver: they name the folders to read and bound the scan.
+        b = rows.agg(F.collect_set(F.struct("window_month", "window_day")).alias("days"),
+                     F.unix_millis(F.min(minute_bucket(F.col("window_end")))).alias("lo"), F.unix_millis(F.max(minute_bucket(F.col("window_end")))).alias("hi")).first()
+        if b["days"]:
+            self._write(MINUTE_PARTS, _placed(MINUTE_PARTS, self._touched_minutes(rows, batch_id, b), version))
+            self._write(LATEST, _placed(LATEST, R.latest_per_product(rows, ("batch_id",)), version))
+            self._write(ACTIVITY, _placed(ACTIVITY, activity_parts(rows), version))
+        self._write(FINAL, rows.sortWithinPartitions(*DAY, "window_end", "product_id"))
+
+    def _stored(self, rows: DataFrame) -> DataFrame:
+        """The batch's rows, written once and read back, so that what follows does not carry the stream's plan."""
+        path = self.path(INCOMING)
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(RAW_TABLE_SCHEMA).parquet(path)
 
     def _touched_minutes(self, rows: DataFrame, batch_id: int, b) -> DataFrame:
         """The state of each (product, minute) of the batch, from its windows' newest rows."""
