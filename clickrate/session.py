@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,11 @@ SESSION_DEFAULTS = {
 
 _WORK_KEY = "spark.clickrate.workDir"
 
+# Each task over a window state sends the driver a counter for each of the state's partitions, so
+# that a micro-batch sends their square.  The state is dealt over no more than this many.
+STATE_PARTITIONS_KEY, STATE_PARTITIONS = "spark.clickrate.statePartitions", 64
+_SHUFFLE_KEY = "spark.sql.shuffle.partitions"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings above to an existing session (idempotent)."""
@@ -33,6 +40,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Stateful queries started within get ``spark.clickrate.statePartitions`` partitions (64 unless
+    it is set), or the session's number where that is lower.  A query takes its settings when it
+    starts; one that has a checkpoint keeps the number it began with."""
+    before = spark.conf.get(_SHUFFLE_KEY)
+    spark.conf.set(_SHUFFLE_KEY, str(min(int(before), int(spark.conf.get(STATE_PARTITIONS_KEY, str(STATE_PARTITIONS))))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_KEY, before)
+
+
 def get_session(master: str | None = None, app_name: str = "clickrate",
                 shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     """Build (or fetch) a session with the defaults; local runs get a scratch

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clickrate.operators.monitoring import MINUTE_MS
 from clickrate.operators.parse import parse_payloads
+from clickrate.session import state_partitions
 
 STATUS_SCHEMA = "source string, point long, valid long, invalid long, batch_id long"
 
@@ -31,7 +32,8 @@ def start_status_query(counts: DataFrame, path: str, checkpoint: str, trigger: d
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    with state_partitions(counts.sparkSession):
+        return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from clickrate.operators.parse import dead_letters, parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import ctr_results, window_counts, with_event_time
+from clickrate.session import state_partitions
 from clickrate.sinks.dlq import start_dlq_stream
 from clickrate.sinks.incremental import IncrementalTables
 from clickrate.sources.events_adapter import CLICK_SOURCE, IMPRESSION_SOURCE
@@ -107,7 +108,8 @@ def start_ctr_query(results: DataFrame, tables: IncrementalTables, checkpoint: s
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    with state_partitions(results.sparkSession):
+        return writer.start()
 
 
 def start_dlq_query(impressions_raw: DataFrame, clicks_raw: DataFrame, path: str, checkpoint: str,

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickrate.session import configure, ensure_dir, shared_dir
+from clickrate.session import configure, ensure_dir, shared_dir, state_partitions
 from clickrate.sinks.incremental import IncrementalTables
 from clickrate.sources.events_adapter import (
     CLICK_SOURCE, IMPRESSION_SOURCE, arrival_records, load_events, payload_json,
@@ -107,8 +107,10 @@ def replay_fire_log(spark: SparkSession, sf_dir: str, steps: int, settings: Wind
     log = fire_log_stream(*(stream_payload_files(spark, path, s) for s, path in folders.items()), settings)
     for i in range(steps + bool(held_every)):
         deliver(spark, staged, i, folders)
-        (log.writeStream.format("parquet").outputMode("append").option("path", f"{root}/log")
-         .option("checkpointLocation", f"{root}/chk").trigger(**AVAILABLE_NOW).start().awaitTermination())
+        writer = log.writeStream.format("parquet").outputMode("append").option("path", f"{root}/log").option("checkpointLocation", f"{root}/chk")
+        with state_partitions(spark):
+            q = writer.trigger(**AVAILABLE_NOW).start()
+        q.awaitTermination()
     return f"{root}/log"
 
 
