@@ -44,13 +44,16 @@ def fixture_dir(spark, docs, tmp_path_factory):
                            (90, "x://a\x01.net/"), (91, "x://net\x01/"), (92, "x://\U0010ffff.org/fr/\U0010ffff")], "page_id long, url string").coalesce(1).write.parquet(f"{d}/pages.parquet")
     spark.createDataFrame([(1, ROWS[0][1]), (10, "A B"), (2, None), (3, "..."), (4, "w0 w2916 w829")], "item_id long, text string").coalesce(1).write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{d}/labels.parquet")
+    said = table(spark, SF, "conversations").select("conv_id", "turn", "role", "text")
+    spark.createDataFrame([(1, 0, "user", "a\nb <|image|>"), (1, 1, "assistant", None), (2, 0, "assistant", "<|im_end|>"), (3, 0, None, ""), (3, 1, "assistant", "\U0010ffff <\\|x")],
+                          said.schema).coalesce(1).write.parquet(f"{d}/conversations.parquet")
     return d
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, fixture_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{fixture_dir}/{t}.parquet/*.parquet')")
     assert not compare(queries.QUERIES[name](spark, fixture_dir), con, queries.ORACLE_SQL[name])[0]
     assert not compare(queries.QUERIES[name](spark, SF), duck(SF), queries.ORACLE_SQL[name])[0]
