@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on.
 #  * UTC: month keys and minute buckets are defined in UTC.
@@ -27,7 +27,8 @@ SESSION_DEFAULTS = {
 _WORK_KEY = "spark.clickrate.workDir"
 
 # Each task over a window state sends the driver a counter for each of the state's partitions, so
-# that a micro-batch sends their square.  The state is dealt over no more than this many.
+# that a micro-batch sends their square.  The state is dealt over no more than this many, and no
+# more tasks than this run over a state that has more.
 STATE_PARTITIONS_KEY, STATE_PARTITIONS = "spark.clickrate.statePartitions", 64
 _SHUFFLE_KEY = "spark.sql.shuffle.partitions"
 
@@ -40,13 +41,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _state_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get(STATE_PARTITIONS_KEY, str(STATE_PARTITIONS)))
+
+
+def in_state_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` of a stateful query, computed by at most ``spark.clickrate.statePartitions`` tasks.  A
+    checkpoint keeps the number of partitions it began with, however high; with a bounded number of
+    tasks what they send grows with that number, not with its square."""
+    return rows.coalesce(_state_limit(rows.sparkSession))
+
+
 @contextmanager
 def state_partitions(spark: SparkSession) -> Iterator[None]:
     """Stateful queries started within get ``spark.clickrate.statePartitions`` partitions (64 unless
     it is set), or the session's number where that is lower.  A query takes its settings when it
     starts; one that has a checkpoint keeps the number it began with."""
     before = spark.conf.get(_SHUFFLE_KEY)
-    spark.conf.set(_SHUFFLE_KEY, str(min(int(before), int(spark.conf.get(STATE_PARTITIONS_KEY, str(STATE_PARTITIONS))))))
+    spark.conf.set(_SHUFFLE_KEY, str(min(int(before), _state_limit(spark))))
     try:
         yield
     finally:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clickrate.operators.monitoring import MINUTE_MS
 from clickrate.operators.parse import parse_payloads
-from clickrate.session import state_partitions
+from clickrate.session import in_state_tasks, state_partitions
 
 STATUS_SCHEMA = "source string, point long, valid long, invalid long, batch_id long"
 
@@ -28,7 +28,7 @@ def status_stream(records: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 def start_status_query(counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+        (in_state_tasks(batch).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
     writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)

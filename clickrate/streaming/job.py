@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from clickrate.operators.parse import dead_letters, parse_payloads, valid_events
 from clickrate.operators.union import union_events
 from clickrate.operators.window_agg import ctr_results, window_counts, with_event_time
-from clickrate.session import state_partitions
+from clickrate.session import in_state_tasks, state_partitions
 from clickrate.sinks.dlq import start_dlq_stream
 from clickrate.sinks.incremental import IncrementalTables
 from clickrate.sources.events_adapter import CLICK_SOURCE, IMPRESSION_SOURCE
@@ -93,6 +93,7 @@ def start_ctr_query(results: DataFrame, tables: IncrementalTables, checkpoint: s
         raise ValueError(f"{setting} must be false: else the lateness bound is one batch late")
 
     def apply(df: DataFrame, batch_id: int) -> None:
+        df = in_state_tasks(df)
         if also is None:
             tables.apply_batch(df, batch_id)
             return

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickrate.session import configure, ensure_dir, shared_dir, state_partitions
+from clickrate.session import configure, ensure_dir, in_state_tasks, shared_dir, state_partitions
 from clickrate.sinks.incremental import IncrementalTables
 from clickrate.sources.events_adapter import (
     CLICK_SOURCE, IMPRESSION_SOURCE, arrival_records, load_events, payload_json,
@@ -104,7 +104,7 @@ def replay_fire_log(spark: SparkSession, sf_dir: str, steps: int, settings: Wind
     root = shared_dir(spark, "fire-log")
     staged = stage_steps(spark, sf_dir, f"{root}/staged", steps, product_buckets, held_every)
     folders = {s: ensure_dir(spark, f"{root}/in/{s}") for s in (IMPRESSION_SOURCE, CLICK_SOURCE)}
-    log = fire_log_stream(*(stream_payload_files(spark, path, s) for s, path in folders.items()), settings)
+    log = in_state_tasks(fire_log_stream(*(stream_payload_files(spark, path, s) for s, path in folders.items()), settings))
     for i in range(steps + bool(held_every)):
         deliver(spark, staged, i, folders)
         writer = log.writeStream.format("parquet").outputMode("append").option("path", f"{root}/log").option("checkpointLocation", f"{root}/chk")
